@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from eventloom.functions.numbers import whole
+
 NEWLINE = "\n"
 
 
@@ -37,10 +39,10 @@ def statement_slice(text: Column, start: Column, end: Column, width: int | None
 
     Offsets count UTF-16 units; for texts of the basic plane that is one unit per character.
     """
-    first = (start / 2).cast("int")  # offsets are even and not negative
+    first = whole(start, 2) + 1
     stop = F.when(end == -1, utf16_bytes(text)).otherwise(end)
-    count = ((stop - start) / 2).cast("int") + 1
-    out = F.substr(text, first + 1, F.greatest(count, F.lit(0)))
+    count = whole(stop - start, 2) + 1
+    out = F.substr(text, first.cast("int"), F.greatest(count, F.lit(0)).cast("int"))
     return F.left(out, F.lit(width)) if width else out
 
 
