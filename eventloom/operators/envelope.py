@@ -21,6 +21,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from eventloom.functions.typed import to_time
+
 OPTIONS = {"mode": "PERMISSIVE", "ignoreSurroundingSpaces": "false"}
 
 VALUES, TEXTS, ACTIONS, TYPES = "values", "texts", "actions", "types"
@@ -96,8 +98,6 @@ def parse(
 
     `parts` and `payload` limit what is materialised; malformed records stay, flagged.
     """
-    from eventloom.functions.typed import to_time
-
     schema = event_type(parts, payload) + ", _corrupt_record STRING"
     event = raw.withColumn("event", F.from_xml(F.col("event_data"), schema, OPTIONS))
     parsed = F.struct(
@@ -110,6 +110,18 @@ def parse(
     return event.select(*kept, F.inline(F.array(parsed)))
 
 
+def from_elements(events: DataFrame, parts: frozenset[str] = EVERY_PART) -> DataFrame:
+    """The parsed layer of event elements a file reader has already turned into columns."""
+    parsed = F.struct(
+        F.col("_name").alias("object_name"),
+        F.col("_name").alias("event_name"),
+        to_time(F.col("_timestamp")).alias("event_time"),
+        *arrays(F.col("data"), F.col("action") if ACTIONS in parts else None, parts, None),
+        F.lit(False).alias("malformed"),
+    )
+    return events.select("file_name", F.inline(F.array(parsed)))
+
+
 def well_formed(parsed: DataFrame) -> DataFrame:
     return parsed.where(~F.col("malformed"))
 

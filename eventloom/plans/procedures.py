@@ -45,7 +45,7 @@ def procedure_stats(
     rows = join_on(rows, plans, {k: k for k in _STATEMENT}, "left")
 
     minutes = minute_boundaries(F.col("creation_time"), now)
-    runs = F.col("execution_count")
+    runs = F.nullif(F.col("execution_count"), F.lit(0))
 
     def when_running(rate: Column) -> Column:
         return F.when(minutes != 0, rate)
