@@ -1,8 +1,9 @@
-"""Applying a change stream to a published copy.
+"""Keeping a published copy up to date from a change stream.
 
-Each micro-batch writes the next version of the copy next to the previous one. The version number
-is the batch id, so a batch repeated after a failure overwrites its own output and reads the same
-input: the result is the same as if it had run once.
+The stream only appends changes, so a micro-batch costs what it brings and never rewrites the
+copy. A reader sees snapshot plus changes; `compact` folds the changes into a new snapshot from
+time to time. Applying a change twice, or a change older than the snapshot's last one for a key,
+is harmless as long as `sequence` orders the changes of a key.
 """
 
 from __future__ import annotations
@@ -12,33 +13,21 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from eventloom.operators.publish import apply_changes, read_version, version_path
+from eventloom.operators.publish import apply_changes
+from eventloom.streaming.ingest import append
 
 
-def replicate(
-    feed: DataFrame,
-    initial: DataFrame,
-    keys: Sequence[str],
-    path: str,
-    checkpoint: str,
-    trigger: dict | None = None,
-) -> StreamingQuery:
-    """Keep `path` equal to `initial` plus all changes seen; `latest` reads it."""
-    schema = initial.schema
+def collect_changes(feed: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """Append the changes of a stream under `path`, exactly once."""
+    return append(feed, path, checkpoint, trigger)
 
-    def apply(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        before = initial if batch_id == 0 else read_version(spark, path, batch_id - 1)
-        after = apply_changes(before.to(schema), batch, keys)
-        after.write.mode("overwrite").parquet(version_path(path, batch_id))
 
-    writer = feed.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
-    return writer.trigger(**(trigger or {"availableNow": True})).start()
+def current_copy(snapshot: DataFrame, changes: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The copy as a reader sees it now."""
+    return apply_changes(snapshot, changes, keys)
 
 
-def latest(spark, path: str, query: StreamingQuery) -> DataFrame:
-    """The copy after the last finished batch of `query`."""
-    progress = query.lastProgress
-    if progress is None:
-        raise ValueError("no batch has finished yet")
-    return read_version(spark, path, progress["batchId"])
+def compact(snapshot: DataFrame, changes: DataFrame, keys: Sequence[str], path: str) -> DataFrame:
+    """Write the current copy as the next snapshot. `path` must not be the one being read."""
+    current_copy(snapshot, changes, keys).write.mode("overwrite").parquet(path)
+    return snapshot.sparkSession.read.parquet(path)
