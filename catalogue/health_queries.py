@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from catalogue import logs
 from catalogue.registry import big, num, register
 from catalogue.state import DerivedState, oracle as state_oracle
-from eventloom.operators.shred import bad_literals, shred
+from eventloom.operators.shred import bad_literals, settle, shred
 from eventloom.operators.envelope import quarantine
 from eventloom.plans import health_log as reports
 from eventloom.plans import waits as wait_reports
@@ -27,11 +27,11 @@ def typed(spec):
 
 
 def report(make, spec):
-    return lambda spark, sf_dir: make(shred(raw(spark, sf_dir), spec, cut=True))
+    return lambda spark, sf_dir: make(settle(shred(raw(spark, sf_dir), spec, cut=True)))
 
 
 def waits(spark, sf_dir):
-    return shred(logs.log(spark, sf_dir, [logs.WAIT_EVENT]), WAIT_INFO)
+    return shred(logs.log(spark, sf_dir, (logs.WAIT_EVENT,)), WAIT_INFO)
 
 
 ERRORS = f"""

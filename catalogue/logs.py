@@ -6,7 +6,7 @@ column keeps one branch of the union, as it keeps one partition of a stored log.
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import lru_cache, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -199,7 +199,7 @@ VALIDATION_EVENT = EventSource(
 
 UNLISTED_EVENT = EventSource("unlisted_event", "nation", clock("n_nationkey"), [E("name", "n_name")], key="n_nationkey")
 
-HEALTH_LOG = [
+HEALTH_LOG = (
     ERROR_EVENT,
     DDL_EVENT,
     LEASE_EVENT,
@@ -210,7 +210,7 @@ HEALTH_LOG = [
     SYNC_EVENT,
     VALIDATION_EVENT,
     UNLISTED_EVENT,
-]
+)
 
 WAIT_EVENT = EventSource(
     "wait_info",
@@ -500,7 +500,7 @@ SH_COMPONENT = EventSource(
     key="o_orderkey",
 )
 
-SYSTEM_HEALTH_LOG = [
+SYSTEM_HEALTH_LOG = (
     SH_SECURITY,
     SH_WAIT,
     SH_ERROR,
@@ -511,7 +511,7 @@ SYSTEM_HEALTH_LOG = [
     SH_WAIT_EXTERNAL,
     SH_CONNECT,
     SH_COMPONENT,
-]
+)
 
 # ---------------------------------------------------------- cluster diagnostics
 
@@ -681,7 +681,7 @@ SD_DUMPS = [
     _dump("part", clock("p_partkey"), "p_partkey", RING_SCHEDULER, RING_SCHEDULER_NEXT),
 ]
 
-CLUSTER_LOG = [SD_COMPONENT, SD_STATUS, SD_INFO, *SD_DUMPS]
+CLUSTER_LOG = (SD_COMPONENT, SD_STATUS, SD_INFO, *SD_DUMPS)
 
 
 # ------------------------------------------------------------------- DataFrames
@@ -691,8 +691,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give every core a share of a table that is stored in fewer pieces than there are cores.
+
+    A compact row becomes a long event whose parse is the costly step; stored event files have
+    that size on disk and are split by the scan instead.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def raw_events(spark: SparkSession, sf_dir: str, source: EventSource) -> DataFrame:
-    df = table(spark, sf_dir, source.table)
+    df = spread(table(spark, sf_dir, source.table))
     return df.select(
         F.lit(source.event).alias("object_name"),
         F.expr(source.xml()).alias("event_data"),
@@ -711,7 +721,9 @@ def broken_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def log(spark: SparkSession, sf_dir: str, sources: list[EventSource], broken: bool = False) -> DataFrame:
+@lru_cache(maxsize=64)
+def log(spark: SparkSession, sf_dir: str, sources: tuple[EventSource, ...], broken: bool = False) -> DataFrame:
+    """The lazy plan of a log (built once per session; it holds no data)."""
     parts = [raw_events(spark, sf_dir, x) for x in sources]
     if broken:
         parts.append(broken_events(spark, sf_dir))

@@ -77,7 +77,7 @@ def event_xml(name: str, ts: str, data: list[E], actions: list[E] = ()) -> str:
     return f"concat({', '.join(parts)}, '</event>')"
 
 
-@dataclass(frozen=True)
+@dataclass(frozen=True, eq=False)
 class EventSource:
     """The events one input table turns into: one record per row."""
 

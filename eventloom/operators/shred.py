@@ -47,6 +47,15 @@ def shred(events: DataFrame, spec: TableSpec, cut: bool = False, mode: str = "al
     return table.distinct() if spec.ring_buffer else table
 
 
+def settle(table: DataFrame) -> DataFrame:
+    """Put an exchange behind a lazily shredded table.
+
+    A global sort reads its input twice (it samples the key range first). With the exchange both
+    passes read shuffled rows and the XML is parsed once. Stored tables do not need it.
+    """
+    return table.repartition(int(table.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def shred_all(events: DataFrame, specs: Iterable[TableSpec], cut: bool = False) -> dict[str, DataFrame]:
     """Every table of a family, lazily."""
     return {spec.table: shred(events, spec, cut) for spec in specs}

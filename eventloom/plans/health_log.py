@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from eventloom.functions import text as tx
 from eventloom.functions.times import iso_text
 from eventloom.operators.lookup import in_order, join_on
-from eventloom.operators.shred import present_events, shred
+from eventloom.operators.shred import present_events, settle, shred
 from eventloom.tables import health_log as logs
 
 # Error numbers with an abbreviated message of their own.
@@ -155,7 +155,7 @@ def all_reports(raw: DataFrame, messages: DataFrame, major_version: int = 12, cu
     present = present_events(raw, logs.TABLES)
 
     def table(spec):
-        return shred(raw, spec, cut)
+        return settle(shred(raw, spec, cut))
 
     makers = [
         (logs.ERROR_REPORTED, "error_event_stats", lambda t: error_event_stats(t, messages)),
