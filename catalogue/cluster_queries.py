@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from catalogue import logs
-from catalogue.registry import num, register
+from catalogue.registry import register
 from catalogue.system_health_queries import (
     CLUSTER_SYSTEM_COLUMNS,
     IO_COLUMNS,
@@ -60,7 +58,8 @@ INFO = f"""
 SELECT left(object_name, 15) AS ObjectName, ts AS TimeStampUTC, left(v_node_name, 25) AS NodeName,
  left(v_instance_name, 25) AS InstanceName, v_info AS InfoMessage FROM {logs.SD_INFO.oracle()}"""
 MISC = f"""
-SELECT left(object_name, 15) AS ObjectName, ts AS TimeStampUTC, v_component_name AS Component FROM {logs.SD_COMPONENT.oracle()}
+SELECT left(object_name, 15) AS ObjectName, ts AS TimeStampUTC, v_component_name AS Component, event_data AS EventData
+FROM {logs.SD_COMPONENT.oracle(with_xml=True)}
 WHERE lower(v_component_name) NOT IN ('resource', 'io_subsystem', 'system', 'query_processing', 'events')
  AND v_component_type <> 'alwaysOn:AvailabilityGroup'"""
 AG_STATE = f"""
@@ -128,15 +127,12 @@ register(
 )
 register(
     "misc_events",
-    # The oracle has no XML; the raw event is compared by its root element only.
-    lambda spark, sf_dir: reports.misc_events(table(tables.MISC)(spark, sf_dir)).withColumn(
-        "EventData", F.regexp_extract("EventData", r'^<event name="(\w+)"', 1)
-    ),
-    f"SELECT *, 'component_health_result' AS EventData FROM ({MISC})",
+    report(reports.misc_events, tables.MISC),
+    MISC,
 )
 
 
-def _all_columns(columns: str, *sources) -> str:
+def distinct_rows(columns: str, *sources) -> str:
     union = " UNION ALL ".join(f"SELECT {columns} FROM {x.oracle()}" for x in sources)
     return f"SELECT DISTINCT * FROM ({union})"
 
@@ -210,17 +206,17 @@ register("ring_error_reported_first_per_record", ring(tables.RING_ERROR_REPORTED
 register(
     "ring_scheduler_monitor",
     ring(tables.RING_SCHEDULER_MONITOR),
-    _all_columns(_SCHEDULER, logs.RING_SCHEDULER, logs.RING_SCHEDULER_NEXT),
+    distinct_rows(_SCHEDULER, logs.RING_SCHEDULER, logs.RING_SCHEDULER_NEXT),
 )
-register("ring_resource_monitor", ring(tables.RING_RESOURCE_MONITOR), _all_columns(_RESOURCE_MONITOR, logs.RING_RESOURCE))
+register("ring_resource_monitor", ring(tables.RING_RESOURCE_MONITOR), distinct_rows(_RESOURCE_MONITOR, logs.RING_RESOURCE))
 register(
     "ring_connectivity",
     ring(tables.RING_CONNECTIVITY),
-    _all_columns(_CONNECT, logs.RING_CONNECT, logs.RING_CONNECT_AGAIN),
+    distinct_rows(_CONNECT, logs.RING_CONNECT, logs.RING_CONNECT_AGAIN),
 )
-register("ring_security", ring(tables.RING_SECURITY), _all_columns(_SECURITY, logs.RING_SECURITY))
+register("ring_security", ring(tables.RING_SECURITY), distinct_rows(_SECURITY, logs.RING_SECURITY))
 register(
     "ring_connectivity_first_per_record",
     ring(tables.RING_CONNECTIVITY, "first"),
-    _all_columns(_CONNECT, logs.RING_CONNECT),
+    distinct_rows(_CONNECT, logs.RING_CONNECT),
 )

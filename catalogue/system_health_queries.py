@@ -17,8 +17,9 @@ def table(spec):
     return lambda spark, sf_dir: settle(shred(raw(spark, sf_dir), spec))
 
 
-def oracle(source, columns: str, where: str = "") -> str:
-    return f"SELECT object_name, ts AS TimeStampUTC, {columns} FROM {source.oracle()} {where}"
+def oracle(source, columns: str, where: str = "", with_xml: bool = False) -> str:
+    raw_text = ", event_data AS EventData" if with_xml else ""
+    return f"SELECT object_name, ts AS TimeStampUTC, {columns}{raw_text} FROM {source.oracle(with_xml)} {where}"
 
 
 SECURITY = oracle(
@@ -31,12 +32,11 @@ WAITS = oracle(
     """t_wait_type AS WaitType, t_opcode AS OpCode, v_duration AS duration, v_signal_duration AS signal_duration,
     a_v_session_id AS session_id, a_v_sql_text AS SQLText""",
 )
-ERRORS = oracle(
-    logs.SH_ERROR,
-    f"""{big('v_error_number')} AS error_number, {big('v_severity')} AS severity, {big('v_state')} AS state,
+_ERROR_COLUMNS = f"""{big('v_error_number')} AS error_number, {big('v_severity')} AS severity, {big('v_state')} AS state,
     v_user_defined AS user_defined, t_category AS category, t_destination AS destination, v_is_intercepted AS is_intercepted,
-    v_message AS message, a_v_session_id AS session_id, a_v_database_id AS database_id""",
-)
+    v_message AS message, a_v_session_id AS session_id, a_v_database_id AS database_id"""
+ERRORS = oracle(logs.SH_ERROR, _ERROR_COLUMNS)
+ERRORS_WITH_RAW = oracle(logs.SH_ERROR, _ERROR_COLUMNS, with_xml=True)
 _TAIL = """v_user_mode_time AS UserModeTime, v_kernel_mode_time AS KernelModeTime, v_page_faults AS PageFaults,
     v_working_set_delta AS WorkingSetDelta, v_memory_utilization AS MemoryUtilization"""
 DEADLOCK = oracle(
@@ -175,18 +175,9 @@ register(
 )
 register(
     "system_errors",
-    lambda sp, d: reports.system_errors(table(tables.ERROR_REPORTED.keeping_raw())(sp, d)).withColumn(
-        "EventData", _count_of_elements()
-    ),
+    lambda sp, d: reports.system_errors(table(tables.ERROR_REPORTED.keeping_raw())(sp, d)),
     f"""SELECT TimeStampUTC, left(CAST(error_number AS VARCHAR), 11) AS ErrorNumber, left(CAST(severity AS VARCHAR), 10) AS Severity,
     left(CAST(state AS VARCHAR), 10) AS State, left(user_defined, 10) AS UserDefined, left(category, 10) AS Category,
     left(destination, 10) AS Destination, left(is_intercepted, 15) AS IsIntercepted, message, session_id, database_id,
-    CAST(11 AS INTEGER) AS EventData FROM ({ERRORS})""",
+    EventData FROM ({ERRORS_WITH_RAW})""",
 )
-
-
-def _count_of_elements():
-    """The oracle has no XML to compare a raw event with; compare how many elements it holds."""
-    from pyspark.sql import functions as F
-
-    return F.size(F.regexp_extract_all("EventData", F.lit("<(data|action) "), F.lit(0)))

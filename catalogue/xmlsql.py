@@ -92,9 +92,11 @@ class EventSource:
     def xml(self) -> str:
         return event_xml(self.event, self.ts, self.data, self.actions)
 
-    def oracle(self) -> str:
-        """A DuckDB subquery with the plain columns of every record."""
+    def oracle(self, with_xml: bool = False) -> str:
+        """A DuckDB subquery with the plain columns of every record (and its raw text)."""
         cols = {"object_name": f"'{self.event}'", "ts": f"CAST({self.ts} AS TIMESTAMP)"}
+        if with_xml:
+            cols["event_data"] = self.xml()
         for e in self.data:
             cols.update(e.columns())
         for e in self.actions:
