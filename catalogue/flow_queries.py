@@ -117,10 +117,10 @@ for fmt in ("parquet", "orc", "json", "csv", "text"):
 
 
 def errors_from_xml(spark, sf_dir):
-    """XML documents with many events each, parsed by the file reader itself."""
+    """Event elements parsed by the file reader itself."""
     path = f"{shared_folder(spark)}/AlwaysOn_health"
     logs.raw_events(spark, sf_dir, logs.ERROR_EVENT).select("event_data").write.text(path)
-    return shred(read_event_xml(spark, path), health_log.ERROR_REPORTED, cut=True)
+    return shred(read_event_xml(spark, path, one_per_line=True), health_log.ERROR_REPORTED, cut=True)
 
 
 register("events_from_xml", errors_from_xml, ERRORS)

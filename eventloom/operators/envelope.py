@@ -117,7 +117,7 @@ def from_elements(events: DataFrame, parts: frozenset[str] = EVERY_PART) -> Data
         F.col("_name").alias("event_name"),
         to_time(F.col("_timestamp")).alias("event_time"),
         *arrays(F.col("data"), F.col("action") if ACTIONS in parts else None, parts, None),
-        F.lit(False).alias("malformed"),
+        F.col("_corrupt_record").isNotNull().alias("malformed"),
     )
     return events.select("file_name", F.inline(F.array(parsed)))
 

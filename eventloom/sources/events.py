@@ -62,16 +62,18 @@ def read_event_xml(
     path: str,
     pattern: str | None = None,
     parts: frozenset[str] = envelope.EVERY_PART,
+    one_per_line: bool = False,
     stream: bool = False,
 ) -> DataFrame:
-    """XML documents holding many <event> elements, straight into the parsed layer.
+    """XML documents of <event> elements under one root, straight into the parsed layer.
 
-    The file reader splits and parses in one pass, so no event text is kept: tables that need a
-    fragment or the raw event have to come from `read_events`.
+    With `one_per_line` each line is an event element without a root, and large files are split
+    between tasks; a document is read by one task. The file reader parses while it splits, so no
+    event text is kept: tables that need a fragment or the raw event come from `read_events`.
     """
-    schema = envelope.event_type(parts)
-    reader = _reader(spark, stream, pattern).format("xml").schema(schema)
-    events = reader.option("rowTag", "event").options(**envelope.OPTIONS).load(path)
+    schema = envelope.event_type(parts) + ", _corrupt_record STRING"
+    reader = _reader(spark, stream, pattern).format("xml").schema(schema).options(**envelope.OPTIONS)
+    events = reader.option("rowTag", "event").option("multiLine", not one_per_line).load(path)
     return envelope.from_elements(events.withColumn("file_name", F.col("_metadata.file_path")), parts)
 
 

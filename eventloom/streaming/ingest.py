@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from eventloom.operators.ring_buffer import ring_events
 from eventloom.operators.shred import route, shred
 from eventloom.operators.specs import TableSpec
 
+RING_TIME = "RBEventTimeStampUTC"
+
 
 def append_table(events: DataFrame, spec: TableSpec, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
     """Shred a stream of raw events into an append-only table.
@@ -32,4 +35,8 @@ def distinct_ring_events(events: DataFrame, spec: TableSpec, keep_for: str = "1
     """
     rows = ring_events(route(events, spec), spec)
     table = rows.select(*[s.column(False).alias(n) for n, s in spec.columns.items()])
-    return table.withWatermark("RBEventTimeStampUTC", keep_for).dropDuplicatesWithinWatermark(table.columns)
+    # Watermarks run on instants; the zone-less UTC time is turned into one without the session zone.
+    since_epoch = F.timestamp_diff("MICROSECOND", F.expr("timestamp_ntz'1970-01-01 00:00:00'"), F.col(RING_TIME))
+    clocked = table.withColumn("event_clock", F.timestamp_micros(since_epoch))
+    unique = clocked.withWatermark("event_clock", keep_for).dropDuplicatesWithinWatermark(table.columns)
+    return unique.drop("event_clock")
