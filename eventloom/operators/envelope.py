@@ -102,12 +102,14 @@ def parse(
     event = raw.withColumn("event", F.from_xml(F.col("event_data"), schema, OPTIONS))
     parsed = F.struct(
         F.col("event._name").alias("event_name"),
-        to_time(F.col("event._timestamp")).alias("event_time"),
+        F.col("event._timestamp").alias("stamp"),
         *arrays(F.col("event.data"), F.col("event.action") if ACTIONS in parts else None, parts, payload),
         (F.col("event").isNull() | F.col("event._corrupt_record").isNotNull()).alias("malformed"),
     )
     kept = [F.col(c) for c in raw.columns]
-    return event.select(*kept, F.inline(F.array(parsed)))
+    opened = event.select(*kept, F.inline(F.array(parsed)))
+    # The time is cast after the `inline`, where its text is a plain column used several times.
+    return opened.withColumn("stamp", to_time(F.col("stamp"))).withColumnRenamed("stamp", "event_time")
 
 
 def from_elements(events: DataFrame, parts: frozenset[str] = EVERY_PART) -> DataFrame:

@@ -7,13 +7,15 @@ events, and successive records repeat most of them. Modes:
     first  one row per record: the time of its first matching event, positions counted over
            all matching events of the record
 
-Both end in a DISTINCT: a partial hash aggregate in the map tasks collapses the repeats before
-anything is shuffled, so a dump repeated across a third of all records stays cheap.
+The result is distinct, so the repeats are removed as early as they can be told apart: the text
+of the matching events is cut out of each record, made distinct (a partial hash aggregate in the
+map tasks, before anything is shuffled) and only then parsed. A dump repeated across a third of
+all records is parsed once.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventloom.functions.typed import to_time
@@ -21,36 +23,67 @@ from eventloom.operators import envelope
 from eventloom.operators.specs import TableSpec
 
 TARGET = "RingBufferTarget"
-_ELEMENT = rf"(?s)<{TARGET}\b[^>]*(?<!/)>.*?</{TARGET}\s*>"
-
-
-def with_nested_events(raw: DataFrame, parts: frozenset[str]) -> DataFrame:
-    """Add `nested`: the events of all ring buffers of a record, as an array, in document order."""
-    event = f"STRUCT<{envelope.event_type(parts)}>"
-    schema = f"{TARGET} ARRAY<STRUCT<event ARRAY<{event}>>>"
-    # The buffers of one record are put under a single root, so that each record is parsed once.
-    buffers = F.array_join(F.regexp_extract_all("event_data", F.lit(_ELEMENT), F.lit(0)), "")
-    root = F.concat(F.lit("<buffers>"), buffers, F.lit("</buffers>"))
-    dumps = raw.where(F.contains(F.col("event_data"), F.lit(f"<{TARGET}"))).withColumn(
-        "buffers", F.from_xml(root, schema, envelope.OPTIONS)
-    )
-    lists = F.transform(F.col(f"buffers.{TARGET}"), lambda b: F.coalesce(b["event"], F.array()))
-    return dumps.withColumn("nested", F.flatten(lists)).drop("buffers")
+_BUFFER = rf"(?s)<{TARGET}\b[^>]*(?<!/)>.*?</{TARGET}\s*>"
+# Comments, CDATA and processing instructions can hide or fake a tag.
+_HIDDEN = r"<[!?]"
+_TWO_EVENTS = r"(?s).<event\b"
+
+
+def _event_pattern(name: str) -> str:
+    named = rf"<event\b(?=[^>]*\bname\s*=\s*[\"\']{name}[\"\'])[^>]*"
+    return rf"(?s){named}(?:/>|(?<!/)>.*?</event\s*>)"
+
+
+def _wrapped(text: Column) -> Column:
+    return F.concat(F.lit(f"<{TARGET}>"), text, F.lit(f"</{TARGET}>"))
+
 
+def holds(event_name: str) -> Column:
+    """True for a record whose ring buffers may have an event of that name.
+
+    A substring test: it never misses one, and what it lets through by mistake yields no row.
+    """
+    xml = F.col("event_data")
+    return F.contains(xml, F.lit(f"<{TARGET}")) & F.contains(xml, F.lit(event_name))
+
+
+def matching_text(raw: DataFrame, event_name: str, mode: str) -> DataFrame:
+    """`buffers`: XML text holding the matching events, per event (all) or per record (first).
+
+    Records whose tags cannot be told by pattern contribute the whole of their buffers.
+    """
+    buffers = F.array_join(F.regexp_extract_all("event_data", F.lit(_BUFFER), F.lit(0)), "")
+    cut = (
+        raw.where(holds(event_name))
+        .select(F.inline(F.array(F.struct(buffers.alias("dump")))))
+        .select("dump", F.regexp_extract_all("dump", F.lit(_event_pattern(event_name)), F.lit(0)).alias("pieces"))
+    )
+    irregular = F.col("dump").rlike(_HIDDEN) | F.exists("pieces", lambda p: p.rlike(_TWO_EVENTS))
+    if mode == "all":
+        units = F.when(irregular, F.array("dump")).otherwise(F.transform("pieces", _wrapped))
+        return cut.select(F.explode(units).alias("buffers"))
+    whole = F.when(irregular, F.col("dump")).otherwise(_wrapped(F.array_join("pieces", "")))
+    return cut.where(irregular | (F.size("pieces") > 0)).select(whole.alias("buffers"))
 
-def holds(event_name: str):
-    """True when a record's `nested` array has an event of that name."""
-    return F.exists("nested", lambda e: e["_name"] == event_name)
 
+def ring_events(raw: DataFrame, spec: TableSpec, mode: str = "all", unique_text: bool = True) -> DataFrame:
+    """Parsed-layer rows of the nested events `spec` asks for.
 
-def ring_events(raw: DataFrame, spec: TableSpec, mode: str = "all") -> DataFrame:
-    """Parsed-layer rows of the nested events `spec` asks for."""
+    `unique_text` parses each text once; it has to be off for a stream without bounded state.
+    """
     if mode not in ("all", "first"):
         raise ValueError(f"mode must be 'all' or 'first', not {mode!r}")
-    # A record that never spells the event name cannot hold one: skip its parse.
-    likely = raw.where(F.contains(F.col("event_data"), F.lit(spec.ring_buffer)))
-    records = with_nested_events(likely, spec.parts).select(
-        F.filter("nested", lambda e: e["_name"] == spec.ring_buffer).alias("matching")
+    texts = matching_text(raw, spec.ring_buffer, mode)
+    if unique_text:
+        texts = texts.distinct()
+    schema = f"{TARGET} ARRAY<STRUCT<event ARRAY<STRUCT<{envelope.event_type(spec.parts)}>>>>"
+    root = F.concat(F.lit("<buffers>"), F.col("buffers"), F.lit("</buffers>"))
+    dumps = texts.select(F.from_xml(root, schema, envelope.OPTIONS).alias("root"))
+    lists = F.transform(F.col(f"root.{TARGET}"), lambda b: F.coalesce(b["event"], F.array()))
+    records = dumps.select(
+        F.inline(
+            F.array(F.struct(F.filter(F.flatten(lists), lambda e: e["_name"] == spec.ring_buffer).alias("matching")))
+        )
     )
     actions_read = envelope.ACTIONS in spec.parts
     if mode == "all":
@@ -64,8 +97,7 @@ def ring_events(raw: DataFrame, spec: TableSpec, mode: str = "all") -> DataFrame
         actions = F.flatten(F.transform("matching", lambda e: F.coalesce(e["action"], F.array()))) if actions_read else None
         when, name = F.get("matching", F.lit(0))["_timestamp"], F.get("matching", F.lit(0))["_name"]
     parsed = F.struct(
-        name.alias("event_name"),
-        to_time(when).alias("event_time"),
-        *envelope.arrays(data, actions, spec.parts, None),
+        name.alias("event_name"), when.alias("stamp"), *envelope.arrays(data, actions, spec.parts, None)
     )
-    return one.select(F.inline(F.array(parsed)))
+    opened = one.select(F.inline(F.array(parsed)))
+    return opened.withColumn("stamp", to_time(F.col("stamp"))).withColumnRenamed("stamp", "event_time")

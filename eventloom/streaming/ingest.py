@@ -33,7 +33,7 @@ def distinct_ring_events(events: DataFrame, spec: TableSpec, keep_for: str = "1
     A buffer repeats an event until it is overwritten; `keep_for` is how long an event can keep
     coming back, and bounds the state.
     """
-    rows = ring_events(route(events, spec), spec)
+    rows = ring_events(route(events, spec), spec, unique_text=False)
     table = rows.select(*[s.column(False).alias(n) for n, s in spec.columns.items()])
     # Watermarks run on instants; the zone-less UTC time is turned into one without the session zone.
     since_epoch = F.timestamp_diff("MICROSECOND", F.expr("timestamp_ntz'1970-01-01 00:00:00'"), F.col(RING_TIME))
