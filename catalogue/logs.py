@@ -703,9 +703,10 @@ def spread(df: DataFrame) -> DataFrame:
 
 def raw_events(spark: SparkSession, sf_dir: str, source: EventSource) -> DataFrame:
     df = spread(table(spark, sf_dir, source.table))
+    # The text is built behind an `inline`, so that a predicate on it does not build it again.
     return df.select(
         F.lit(source.event).alias("object_name"),
-        F.expr(source.xml()).alias("event_data"),
+        F.inline(F.array(F.struct(F.expr(source.xml()).alias("event_data")))),
         F.lit(f"{source.table}_0_1.xel").alias("file_name"),
         F.expr(f"CAST({source.key} AS BIGINT)").alias("file_offset"),
     )

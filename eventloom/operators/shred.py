@@ -28,7 +28,11 @@ def routed(events: DataFrame, spec: TableSpec) -> DataFrame:
     `events` is the raw layer or an already parsed (possibly stored) layer.
     """
     mine = route(events, spec)
-    parsed = mine if _is_parsed(events) else envelope.parse(mine, spec.parts, spec.payload)
+    if _is_parsed(events):
+        parsed = mine
+    else:
+        likely = spec.may_match()
+        parsed = envelope.parse(mine if likely is None else mine.where(likely), spec.parts, spec.payload)
     parsed = envelope.well_formed(parsed)
     return parsed.where(spec.where()) if spec.where is not None else parsed
 

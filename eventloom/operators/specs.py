@@ -117,6 +117,7 @@ class TableSpec:
     event: str | None = None  # object_name routed here; None takes every record
     where: Callable[[], Column] | None = field(default=None, compare=False)  # on parsed-layer columns
     reads: frozenset[str] = frozenset()  # envelope parts `where` needs
+    spells: str | None = None  # the value or text `where` compares with: see `may_match`
     payload: dict[str, str] = field(default_factory=dict)
     ring_buffer: str | None = None  # the nested event shredded instead of the record itself
 
@@ -129,6 +130,18 @@ class TableSpec:
                     used.add(s.part)
         return frozenset(used)
 
+    def may_match(self) -> Column | None:
+        """A test on the raw text that no matching record fails, so that others are not parsed.
+
+        A value equal to `spells` stands right behind the '>' of its tag, unless the record writes
+        text as CDATA or with character references.
+        """
+        if self.spells is None:
+            return None
+        xml = F.col("event_data")
+        spelled = F.contains(F.lower(xml), F.lit(f">{self.spells.lower()}"))
+        return spelled | F.contains(xml, F.lit("<![CDATA[")) | F.contains(xml, F.lit("&#"))
+
     def keeping_raw(self) -> "TableSpec":
         """The same table with the raw event text as its last column."""
         return replace(self, columns={**self.columns, "EventData": column("event_data")})

@@ -44,6 +44,7 @@ def _component(name: str, component: str, columns: dict[str, Source], payload: d
         columns={**common, **columns},
         where=lambda: same(_nth_value(5), component),
         reads=frozenset({envelope.VALUES}),
+        spells=component,
         payload=payload,
     )
 
@@ -126,6 +127,7 @@ GROUP_STATE = TableSpec(
     },
     where=lambda: same(_nth_value(4), AVAILABILITY_GROUP),
     reads=frozenset({envelope.VALUES}),
+    spells=AVAILABILITY_GROUP,
     payload=components.AVAILABILITY_GROUP_PAYLOAD,
 )
 

@@ -13,7 +13,6 @@ from eventloom.operators import envelope
 from eventloom.operators.specs import Source, TableSpec, action, column, fragment, run, stamp, text, value
 from eventloom.tables import components
 
-
 FILE_PATTERN = "*system_health_*.xel"
 
 
@@ -119,6 +118,7 @@ def _component(name: str, subsystem: str, columns: dict[str, Source], payload: d
         {"SubSystem": text(1), "State": text(2), **columns},
         where=lambda: same(F.get("texts", F.lit(0)), subsystem),
         reads=frozenset({envelope.TEXTS}),
+        spells=subsystem,
         payload=payload,
     )
 
