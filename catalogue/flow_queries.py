@@ -10,7 +10,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import functions as F
 
 from catalogue import logs
-from catalogue.cluster_queries import distinct_rows
+from catalogue.cluster_queries import RESOURCE, distinct_rows
 from catalogue.health_queries import ERRORS, STATES, WAITS
 from catalogue.registry import register
 from catalogue.state import DerivedState, oracle as state_oracle
@@ -23,7 +23,7 @@ from eventloom.sources.tables import save_parsed, save_raw, save_tables, shared_
 from eventloom.streaming.capture import capture_waits
 from eventloom.streaming.ingest import append, append_table, distinct_ring_events
 from eventloom.streaming.replicate import collect_changes, compact, current_copy
-from eventloom.tables import cluster_diagnostics, health_log
+from eventloom.tables import cluster_diagnostics, components, health_log
 from eventloom.tables.wait_capture import WAIT_INFO
 
 
@@ -144,6 +144,16 @@ def stored_parsed_layer(spark, sf_dir):
 register("stored_parsed_layer", stored_parsed_layer, STATES)
 
 
+def stored_parsed_components(spark, sf_dir):
+    """A component table out of a parsed layer that serves all of them."""
+    log = logs.log(spark, sf_dir, (logs.SD_COMPONENT,))
+    parsed = save_parsed(log, f"{shared_folder(spark)}/parsed", components.EVERY_PAYLOAD)
+    return shred(parsed, cluster_diagnostics.RESOURCE, cut=True)
+
+
+register("stored_parsed_components", stored_parsed_components, RESOURCE)
+
+
 def stored_tables(spark, sf_dir):
     """A typed table loaded, reloaded in place, and read back."""
     raw = logs.log(spark, sf_dir, logs.HEALTH_LOG)

@@ -208,9 +208,13 @@ def _summary_oracle(seed: str) -> str:
 LEFT JOIN {_COUNTS} c ON s.XEvent = left(c.object_name, 50)"""
 
 
+def names(spark, sf_dir):
+    return logs.event_names(spark, sf_dir, logs.HEALTH_LOG, broken=True)
+
+
 def event_summary(version):
     def query(spark, sf_dir):
-        events = raw(spark, sf_dir)
+        events = names(spark, sf_dir)
         return reports.event_summary(events, reports.version_seed(events, version))
 
     return query
@@ -225,7 +229,7 @@ register("event_summary_before_version_12", event_summary(11), _summary_oracle(_
 def declared_event_summary(spark, sf_dir):
     state = DerivedState(spark, sf_dir)
     seed = reports.declared_events(state["xe_sessions"], state["xe_session_events"])
-    return reports.event_summary(raw(spark, sf_dir), seed)
+    return reports.event_summary(names(spark, sf_dir), seed)
 
 
 register(

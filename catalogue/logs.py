@@ -701,6 +701,14 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
+def event_names(spark: SparkSession, sf_dir: str, sources: tuple[EventSource, ...], broken: bool = False) -> DataFrame:
+    """The object names of a log, for reports that read nothing else."""
+    named = [table(spark, sf_dir, x.table).select(F.lit(x.event).alias("object_name")) for x in sources]
+    if broken:
+        named.append(broken_events(spark, sf_dir).select("object_name"))
+    return reduce(DataFrame.unionByName, named)
+
+
 def raw_events(spark: SparkSession, sf_dir: str, source: EventSource) -> DataFrame:
     df = spread(table(spark, sf_dir, source.table))
     # The text is built behind an `inline`, so that a predicate on it does not build it again.

@@ -46,18 +46,14 @@ def latest_changes(feed: DataFrame, keys: Sequence[str]) -> DataFrame:
 def apply_changes(target: DataFrame, feed: DataFrame, keys: Sequence[str]) -> DataFrame:
     """`target` after the feed: changed keys take their last change, deleted keys go.
 
-    Both sides have one row per key, so the outer join cannot multiply or skew.
+    Untouched rows are what an anti-join with the changed keys leaves. The key list is distinct,
+    so nothing multiplies, and when it is measured small Spark broadcasts it and the target is
+    neither shuffled nor sorted.
     """
-    last = latest_changes(feed, keys)
-    values = [c for c in target.columns if c not in set(keys)]
-    new = last.select(
-        *keys, F.struct(*values).alias("new_values"), (F.lower(OPERATION) == "delete").alias("deleted")
-    )
-    old = target.select(*keys, F.struct(*values).alias("old_values"))
-    merged = old.join(new, list(keys), "full_outer").where(F.col("deleted").isNull() | ~F.col("deleted"))
-    value = F.coalesce("new_values", "old_values")
-    current = merged.select(*keys, value.alias("current"))
-    return current.select(*[F.col(c) if c in keys else F.col(f"current.{c}").alias(c) for c in target.columns])
+    changed = feed.select(*keys).distinct()
+    untouched = target.join(changed, list(keys), "left_anti").select(*target.columns)
+    last = latest_changes(feed, keys).where(F.lower(OPERATION) != "delete")
+    return untouched.unionByName(last.select(*target.columns))
 
 
 def add_columns(published: DataFrame, changed: DataFrame) -> DataFrame:

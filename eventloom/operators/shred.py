@@ -55,9 +55,10 @@ def settle(table: DataFrame) -> DataFrame:
     """Put an exchange behind a lazily shredded table.
 
     A global sort reads its input twice (it samples the key range first). With the exchange both
-    passes read shuffled rows and the XML is parsed once. Stored tables do not need it.
+    passes read shuffled rows and the XML is parsed once; AQE sizes its partitions. Stored tables
+    do not need it.
     """
-    return table.repartition(int(table.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return table.hint("rebalance")
 
 
 def shred_all(events: DataFrame, specs: Iterable[TableSpec], cut: bool = False) -> dict[str, DataFrame]:

@@ -41,7 +41,9 @@ def procedure_stats(
     texts = state["sql_text"].select("sql_handle", "text")
     rows = join_on(picked, texts, {"sql_handle": "sql_handle"}, "inner")
     rows = name_of(rows, state["databases"], {"dbid": "database_id"}, "name", "database_name")
+    # Plans are wide: keep those of the picked statements before the outer join moves any.
     plans = state["query_plan"].select(*_STATEMENT, "query_plan")
+    plans = join_on(plans, picked.select(*_STATEMENT), {k: k for k in _STATEMENT}, "left_semi")
     rows = join_on(rows, plans, {k: k for k in _STATEMENT}, "left")
 
     minutes = minute_boundaries(F.col("creation_time"), now)

@@ -100,6 +100,15 @@ QUERY_PAYLOAD = {
 }
 AVAILABILITY_GROUP_PAYLOAD = {"availabilityGroup": _struct(["resourceID", "leaseValid"])}
 
+# For a stored parsed layer that serves every component table.
+EVERY_PAYLOAD = {
+    **SYSTEM_PAYLOAD,
+    **RESOURCE_PAYLOAD,
+    **IO_PAYLOAD,
+    **QUERY_PAYLOAD,
+    **AVAILABILITY_GROUP_PAYLOAD,
+}
+
 
 def system(without: tuple[str, ...] = ()) -> dict[str, Source]:
     return {n: attribute("system", n, kind) for n, kind in _SYSTEM.items() if n not in without}
