@@ -3,7 +3,8 @@
 A change feed has the article's columns plus
 
     operation   'insert', 'update' or 'delete'
-    sequence    the order of the changes of one key (any orderable type)
+    sequence    the order of the changes of one key (any orderable type, unique per key);
+                a change without one has no place in the order and is left out
 """
 
 from __future__ import annotations
@@ -50,9 +51,10 @@ def apply_changes(target: DataFrame, feed: DataFrame, keys: Sequence[str]) -> Da
     so nothing multiplies, and when it is measured small Spark broadcasts it and the target is
     neither shuffled nor sorted.
     """
+    feed = feed.where(F.col(SEQUENCE).isNotNull())
     changed = feed.select(*keys).distinct()
     untouched = target.join(changed, list(keys), "left_anti").select(*target.columns)
-    last = latest_changes(feed, keys).where(F.lower(OPERATION) != "delete")
+    last = latest_changes(feed, keys).where(~F.lower(OPERATION).eqNullSafe("delete"))
     return untouched.unionByName(last.select(*target.columns))
 
 
