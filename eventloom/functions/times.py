@@ -31,5 +31,11 @@ def elapsed_clock(ms: Column) -> Column:
 
 
 def iso_text(ts: Column) -> Column:
-    """`yyyy-MM-dd HH:mm:ss.SSS`."""
-    return F.date_format(ts, "yyyy-MM-dd HH:mm:ss.SSS")
+    """`yyyy-MM-dd HH:mm:ss.SSS`, cut (not rounded) to milliseconds; no time zone is involved."""
+    digits = ts.cast("string")
+    return F.concat(F.left(digits, F.lit(19)), F.lit("."), F.rpad(F.substring(digits, 21, 3), 3, "0"))
+
+
+def utc_now() -> Column:
+    """The current time as zone-less UTC, like the times of the logs."""
+    return F.timestamp_add("MICROSECOND", F.unix_micros(F.current_timestamp()), F.expr("timestamp_ntz'1970-01-01 00:00:00'"))

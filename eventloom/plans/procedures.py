@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from eventloom.functions import text as tx
 from eventloom.functions.numbers import micros_to_millis, whole
-from eventloom.functions.times import minute_boundaries
+from eventloom.functions.times import minute_boundaries, utc_now
 from eventloom.operators.lookup import join_on, name_of
 
 _STATEMENT = ["plan_handle", "statement_start_offset", "statement_end_offset"]
@@ -23,7 +23,7 @@ def procedure_stats(
     The rows are picked on narrow tables first (the procedure's text handles, then `n` of its
     statements in plan order); batch texts and plans are read for those rows alone.
     """
-    now = F.current_timestamp() if as_of is None else as_of
+    now = utc_now() if as_of is None else as_of
     target = state["objects"].where(tx.same(F.col("name"), procedure)).select(
         "object_id", "database_id", F.col("name").alias("sproc")
     )
@@ -71,7 +71,9 @@ def procedure_stats(
         whole(F.col("total_logical_reads"), runs).alias("avg_reads"),
         whole(F.col("total_physical_reads"), runs).alias("avg_phys_reads"),
         whole(F.col("total_logical_writes"), runs).alias("avg_writes"),
-        (average_ms("total_worker_time").cast("decimal(25,2)") * per_minute).alias("avg_cpu_per_minute"),
+        (average_ms("total_worker_time").cast("decimal(25,2)") * per_minute)
+        .cast("decimal(38,5)")
+        .alias("avg_cpu_per_minute"),
         "last_execution_time",
         "creation_time",
         tx.statement_slice(

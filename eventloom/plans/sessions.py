@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from eventloom.functions import text as tx
 from eventloom.functions.numbers import kb_to_mb, pages_to_kb
-from eventloom.functions.times import elapsed_clock, iso_text
+from eventloom.functions.times import elapsed_clock, iso_text, utc_now
 from eventloom.operators.lookup import in_order, join_on, name_of
 
 State = Mapping[str, DataFrame]
@@ -199,7 +199,7 @@ def redo_sessions(state: State, collect_time: Column | None = None) -> DataFrame
     """Requests doing redo work, with database name and time of collection."""
     rows = redo_requests(state).select("session_id", "database_id")
     rows = name_of(rows, state["databases"], {"database_id": "database_id"}, "name", "DBName")
-    when = F.current_timestamp() if collect_time is None else collect_time
+    when = utc_now() if collect_time is None else collect_time
     return rows.select("session_id", "database_id", "DBName", when.alias("CollectTime"))
 
 

@@ -13,10 +13,11 @@ from eventloom.operators.lookup import join_on
 def capture_files(sessions: DataFrame, targets: DataFrame, session: str, pattern: str) -> DataFrame:
     """File, folder and search pattern of the file targets of matching sessions.
 
-    `session` is a LIKE pattern (a plain name matches itself). The path is read from the target
+    `session` is a name, or a LIKE pattern when it holds a `%`. The path is read from the target
     description, which the server writes and is well-formed; a target without a file gives NULL.
     """
-    matching = sessions.where(F.rtrim("name").ilike(session)).select("address", "name")
+    named = F.rtrim("name").ilike(session) if "%" in session else same(F.col("name"), session)
+    matching = sessions.where(named).select("address", "name")
     files = targets.where(same(F.col("target_name"), "event_file")).select(
         "event_session_address",
         F.get(F.xpath("target_data", F.lit("EventFileTarget/File/@name")), F.lit(0)).alias("target_file"),

@@ -36,11 +36,12 @@ def capture_waits(
 
     The session set is a semi-join: it filters, never multiplies, and Spark broadcasts it when
     it is measured small. Without `start` the time is not bounded (a stream is bounded by its
-    trigger instead).
+    trigger instead). `start` is UTC without a zone.
     """
     waits = shred(events, _WITH_OPCODE).where(F.col("opcode") == WAIT_END).drop("opcode")
     if start is not None:
-        begin = F.lit(start).cast("timestamp_ntz")
-        end = F.lit(start + duration).cast("timestamp_ntz")
+        # Literals from text: a Python datetime would pass through the local time zone.
+        begin = F.lit(start.isoformat(sep=" ")).cast("timestamp_ntz")
+        end = F.lit((start + duration).isoformat(sep=" ")).cast("timestamp_ntz")
         waits = waits.where((F.col("TimeStamp") >= begin) & (F.col("TimeStamp") < end))
     return join_on(waits, sessions.select("session_id"), {"Session_ID": "session_id"}, "left_semi")

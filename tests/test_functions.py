@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from eventloom.functions import paths, text as tx
 from eventloom.functions.numbers import kb_to_mb, whole
-from eventloom.functions.times import elapsed_clock, iso_text, minute_boundaries
+from eventloom.functions.times import elapsed_clock, iso_text, minute_boundaries, utc_now
 from eventloom.functions.typed import BIGINT, DATETIME, INT, failed, typed
 
 
@@ -135,9 +135,18 @@ def test_whole_division(spark):
     assert one(spark, whole(F.col("a"), F.col("b")), a=(1, "bigint"), b=(0, "bigint")) is None
 
 
-def test_iso_text(spark):
-    ts = dt.datetime(2020, 1, 2, 3, 4, 5, 678901)
-    assert one(spark, iso_text(F.col("t")), t=(ts, "timestamp_ntz")) == "2020-01-02 03:04:05.678"
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_iso_text_and_now_ignore_the_session_zone(spark, zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        for micros, text in [(678901, ".678"), (0, ".000"), (120000, ".120"), (5000, ".005")]:
+            ts = dt.datetime(2015, 3, 8, 2, 30, 5, micros)  # an hour New York skips
+            assert one(spark, iso_text(F.col("t")), t=(ts, "timestamp_ntz")) == "2015-03-08 02:30:05" + text
+        now = one(spark, utc_now())
+        assert abs(now - dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)) < dt.timedelta(minutes=1)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
 
 
 def test_paths(spark):
