@@ -37,7 +37,8 @@ def read_events(
     """Exported event records under `path`, optionally only files matching `pattern`.
 
     parquet, orc, json and csv files hold the columns object_name, event_data and file_offset;
-    text files hold one event element per line. `stream` follows the folder instead.
+    text files hold one event element per line. A csv file is read by one task, since event text
+    may hold line breaks; the other formats are split. `stream` follows the folder instead.
     """
     if fmt not in FORMATS:
         raise ValueError(f"format must be one of {FORMATS}, not {fmt!r}")

@@ -45,12 +45,14 @@ def save_as_table(df: DataFrame, name: str) -> DataFrame:
 def save_raw(raw: DataFrame, path: str, files_per_event: int | None = None) -> DataFrame:
     """The raw layer partitioned by event type, so that a route reads only its own files.
 
-    Without `files_per_event` nothing is shuffled. With it, each event type is spread over that
-    many files by record identity, so one dominant type is still written by many tasks.
+    Without `files_per_event` nothing is shuffled and every task writes its own file per type.
+    With it, the rows of each type are dealt out to up to that many files in turn (AQE merges
+    small ones), so one dominant type, or one event repeated over and over, is still written by
+    many tasks.
     """
     if files_per_event:
-        spread = F.pmod(F.xxhash64("file_name", "file_offset"), F.lit(files_per_event))
-        raw = raw.repartition(F.col("object_name"), spread)
+        slot = F.pmod(F.monotonically_increasing_id(), F.lit(files_per_event))
+        raw = raw.withColumn("slot", slot).repartition("object_name", "slot").drop("slot")
     return save(raw, path, ["object_name"])
 
 

@@ -7,7 +7,7 @@ from eventloom.operators import publish
 from eventloom.operators.shred import shred
 from eventloom.sources.events import only_files, read_event_xml, read_events
 from eventloom.sources.state import Snapshot
-from eventloom.sources.tables import save, save_as_table, save_parsed, save_raw, save_tables, shared_folder
+from eventloom.sources.tables import register, save, save_as_table, save_parsed, save_raw, save_tables, shared_folder
 from eventloom.streaming.capture import capture_waits
 from eventloom.streaming.ingest import append, append_table, distinct_ring_events
 from eventloom.streaming.replicate import collect_changes, current_copy
@@ -70,6 +70,23 @@ def test_layers_and_reload(spark, tmp_path):
     assert save(events, str(tmp_path / "once")).count() == 3
 
 
+def test_one_dominant_event_type_is_spread(spark, tmp_path):
+    events = raw(spark, *[("error_reported", error(1))] * 400, ("other", event("other", "")))
+    # AQE would merge pieces this small.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        save_raw(events, str(tmp_path / "raw"), files_per_event=8)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    files = spark.read.parquet(str(tmp_path / "raw")).groupBy(F.input_file_name()).count().orderBy("count").collect()
+    assert len(files) > 4 and files[-1]["count"] <= 200 and sum(f["count"] for f in files) == 401
+
+
+def test_result_tables_get_names(spark):
+    register({"some_waits": spark.range(3)})
+    assert spark.sql("SELECT count(*) AS n FROM some_waits").first().n == 3
+
+
 def test_catalogue_table_is_reloaded(spark, tmp_path):
     spark.sql(f"CREATE DATABASE IF NOT EXISTS loads LOCATION '{tmp_path}/db'")
     save_as_table(spark.range(3), "loads.t")
