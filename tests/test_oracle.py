@@ -44,11 +44,12 @@ SELECTION = [
     "stored_parsed_layer",
     "replicated_copy",
 ]
-NAMES = sorted(entry.oracle_sql()) if os.environ.get("EVENTLOOM_ALL") else SELECTION
+OWN = [n for n in entry.queries() if n not in entry.LLM_QUERIES]
+NAMES = sorted(OWN) if os.environ.get("EVENTLOOM_ALL") else SELECTION
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(OWN) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", NAMES)
