@@ -150,7 +150,7 @@ def links(distinct: DataFrame, radius: int = 3, chunk: int = CHUNK) -> DataFrame
     own = directory.select("tile", "chunks")
     home = tiled.join(own, "tile").select("tile", F.pmod(F.xxhash64("fp"), F.col("chunks")).cast("int").alias("chunk"), F.lit(0).alias("guest"), "fp")
     steps = F.array(*[F.lit(s) for s in _offsets(radius)])
-    guests = tiled.select((F.col("tile") + F.explode(steps)).alias("tile"), "fp").join(directory, "tile")
+    guests = tiled.select(F.explode(F.transform(steps, lambda s: F.col("tile") + s)).alias("tile"), "fp").join(directory, "tile")
     guests = guests.select("tile", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), F.lit(1).alias("guest"), "fp")
     both = home.union(guests).repartition("tile", "chunk").sortWithinPartitions("tile", "chunk", "guest")
     return both.mapInArrow(_compared(radius), "a long, b long")
