@@ -77,6 +77,10 @@ def judged(found: DataFrame, repository: str, owner: str, copied: int = COPIED)
     return kept.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("lo", "kind", "hi", live.alias("live")))).alias("spans"))
 
 
+def _of_kind(kind: int):
+    return lambda s: s["kind"] == kind
+
+
 def _joined(spans: Column) -> Column:
     names = F.array(*[F.lit(name) for name, *_ in KINDS])
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["lo"].cast("string"), s["hi"].cast("string"))), ",")
@@ -93,7 +97,7 @@ def find_secrets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", re
     found = stored(candidates(rows).select("doc_id", row_key("doc_id", "text").alias("key"), "__spans", "__repository", "__owner"), "candidates")
     spans = judged(found.where(F.size("__spans") > 0), "__repository", "__owner", copied)
     sure = F.filter("__spans", lambda s: s["kind"] < SURE)
-    counts = [F.size(F.filter(F.col("__spans"), lambda s, i=i: s["kind"] == i)).cast("long").alias(f"n_{KINDS[i][0]}") for i in range(SURE)]
+    counts = [F.size(F.filter("__spans", _of_kind(i))).cast("long").alias(f"n_{KINDS[i][0]}") for i in range(SURE)]
     base = found.select("doc_id", "key", *counts, F.sha2(_joined(sure).cast("binary"), 256).alias("base_sha256"))
     number = lambda live: F.coalesce(F.size(F.filter("spans", lambda s: s["live"] == live)), F.lit(0)).cast("long")
     every = base.join(spans, "key", "left").withColumn("spans", F.coalesce("spans", F.array().cast("array<struct<lo:int,kind:int,hi:int,live:boolean>>")))

@@ -29,18 +29,19 @@ from pyspark.sql import functions as F
 from eventloom.llm.storage import stored
 
 LISTS, BLOCK, PASS, TILE = 2, 4096, 16_384, 512
-LOW = -(2**63)
+#: Below any score: components stay under 2**25 after scaling, so 4,096 of them stay under 2**62.
+LIMIT, LOW = 2**25, -(2**62)
 
 
 def quantised(rows: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", factor: int = 256) -> DataFrame:
     """(vec_id, v array<long>): floor(factor * component), components as doubles.
 
     Null ids take no part, nor do vectors that are null or hold null, NaN or infinite components, or
-    a component of 2**28 or more after scaling, whose scores a long may not hold. Of rows with equal
+    a component of LIMIT or more after scaling, whose scores a long may not hold. Of rows with equal
     ids the one with the smallest vector counts. Vectors of other lengths are padded with zeros.
     """
     x = rows.select(rows[vec_id].cast("long").alias("vec_id"), F.transform(rows[vector], lambda c: F.floor(c.cast("double") * factor)).alias("v"), F.transform(rows[vector], lambda c: c.cast("double") * factor).alias("d"))
-    fine = F.forall("d", lambda c: F.coalesce(F.abs(c) < 2**28, F.lit(False)))
+    fine = F.forall("d", lambda c: F.coalesce(F.abs(c) < LIMIT, F.lit(False)))
     x = x.where(F.col("vec_id").isNotNull() & F.col("d").isNotNull()).where(fine)
     return x.groupBy("vec_id").agg(F.min("v").alias("v"))
 
