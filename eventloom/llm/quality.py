@@ -50,7 +50,7 @@ def features(text: bytes | None, known: dict[bytes, int]) -> tuple[np.ndarray, n
     return np.array(index + extra, dtype=np.int64), np.concatenate([value, np.ones(len(extra))])
 
 
-def fit_rows(rows: list[tuple[np.ndarray, np.ndarray]], grades: np.ndarray, steps: int = 300, rate: float = 0.05, decay: float = 1e-5) -> tuple[np.ndarray, np.ndarray]:
+def fit_rows(rows: list[tuple[np.ndarray, np.ndarray]], grades: np.ndarray, steps: int = 300, rate: float = 0.05, decay: float = 3e-4) -> tuple[np.ndarray, np.ndarray]:
     """(weights, thresholds) for grades 0..K-1, each grade weighing the same as its share of the sample."""
     k = int(grades.max(initial=0)) + 1
     if not rows or k < 2:

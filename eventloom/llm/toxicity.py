@@ -9,7 +9,8 @@ of logistic losses: the second part is the risk on negatives, estimated without
 going below zero, which is what over-fitting looks like there. The prior is the share of toxic rows
 among the labelled ones that may be learned from, unless given.
 
-Only words that stand out among the positives are features, so a long text does not gather noise.
+Features are a document's distinct words and the distinct beginnings of its words. Only those that
+stand out among the positives are used, so a long text does not gather noise.
 """
 
 from __future__ import annotations
@@ -32,11 +33,18 @@ POSITIVES, UNLABELLED = 4_000, 12_000
 LEAST_POSITIVES, LEAST_DEVIATION, MOST_FEATURES = 3, 5.0, 5_000
 
 
+def marks(text: bytes | None) -> set[bytes]:
+    """The distinct words, and with a mark the first four and five bytes of longer ones."""
+    words = set(words_of(text))
+    longer = [w for w in words if len(w) > 4]
+    return words.union([b"4\0" + w[:4] for w in longer], [b"5\0" + w[:5] for w in longer])
+
+
 def word_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(kind, text) to (kind, hashes of the distinct words)."""
+    """(kind, text) to (kind, hashes of its features)."""
     digest = xxhash.xxh64_intdigest
     for batch in batches:
-        found = [np.fromiter((digest(w) for w in set(words_of(t.as_py()))), dtype=np.uint64).view(np.int64) for t in batch.column(1)]
+        found = [np.fromiter((digest(w) for w in marks(t.as_py())), dtype=np.uint64).view(np.int64) for t in batch.column(1)]
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int64()))], names=["kind", "words"])
 
 
@@ -61,7 +69,7 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * (1 + np.tanh(0.5 * x))
 
 
-def fit_rows(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, steps: int = 400, rate: float = 0.1, decay: float = 1e-4) -> tuple[np.ndarray, np.ndarray, float]:
+def fit_rows(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, steps: int = 400, rate: float = 0.1, decay: float = 1e-5) -> tuple[np.ndarray, np.ndarray, float]:
     """(feature hashes, weights, bias) from distinct word hashes of the two sets."""
     if not positive or not unlabelled:
         return np.empty(0, np.int64), np.empty(0), float(np.log(max(prior, 1e-6) / max(1 - prior, 1e-6)))
@@ -131,7 +139,7 @@ def score(docs: DataFrame, model: tuple[dict[int, float], float], keep: list[str
         for batch in batches:
             totals = []
             for t in batch.column(1):
-                words = set(words_of(t.as_py()))
+                words = marks(t.as_py())
                 for w in words.difference(known):
                     known[w] = signed.get(digest(w), 0.0)
                 totals.append(bias + sum(sorted(map(known.__getitem__, words))) if words else bias)

@@ -219,10 +219,10 @@ def test_redact(spark):
 def toxic_rows(n=600, seed=5):
     rng, rows, labels = np.random.default_rng(seed), [], []
     for i in range(n):
-        words = [f"w{x}" for x in rng.integers(0, 3000, rng.integers(5, 200))]
+        words = [f"w{x}" for x in rng.integers(0, 3000, rng.integers(8, 200))]
         toxic = i % 8 == 0
         if toxic:
-            words[:3] = [f"vile{x}" for x in rng.integers(0, 4, 3)]
+            words[:6] = [f"vile{x}" for x in rng.integers(0, 4, 6)]
         rows.append((i, " ".join(words)))
         labels.append((i, 1, int(toxic)))
     return rows, labels
