@@ -10,20 +10,21 @@ from datetime import datetime, timedelta
 from pyspark.sql import functions as F
 
 from catalogue import logs
-from catalogue.cluster_queries import RESOURCE, distinct_rows
+from catalogue.cluster_queries import RESOURCE, distinct_rows as oracle_rows
 from catalogue.health_queries import ERRORS, STATES, WAITS
 from catalogue.registry import register
 from catalogue.state import DerivedState, oracle as state_oracle
 from catalogue.state_queries import REDO
 from eventloom.operators import publish
-from eventloom.operators.shred import shred
+from eventloom.operators.shred import shred, sorted_out
 from eventloom.plans.sessions import redo_requests
-from eventloom.sources.events import read_event_xml, read_events
+from eventloom.sources.events import only_files, read_event_xml, read_events
+from eventloom.sources.tables import register as name_for_sql
 from eventloom.sources.tables import save_parsed, save_raw, save_tables, shared_folder
 from eventloom.streaming.capture import capture_waits
-from eventloom.streaming.ingest import append, append_table, distinct_ring_events
-from eventloom.streaming.replicate import collect_changes, compact, current_copy
-from eventloom.tables import cluster_diagnostics, components, health_log
+from eventloom.streaming.ingest import append, append_table, distinct_rows, ring_rows
+from eventloom.streaming.replicate import collect_changes, compact, current_copy, untaken
+from eventloom.tables import cluster_diagnostics, components, health_log, system_health
 from eventloom.tables.wait_capture import WAIT_INFO
 
 
@@ -81,17 +82,20 @@ register("ingested_waits_stream", ingested_waits_stream, WAITS)
 
 
 def ring_security_stream(spark, sf_dir):
+    """Three and more batches whose events come in any order of time, repeated across batches."""
     base = shared_folder(spark)
-    logs.log(spark, sf_dir, logs.CLUSTER_LOG).drop("file_name").write.parquet(f"{base}/files")
-    stream = read_events(spark, f"{base}/files", stream=True)
-    rows = distinct_ring_events(stream, cluster_diagnostics.RING_SECURITY, keep_for="400 days")
-    append(rows, f"{base}/ring", f"{base}/checkpoint").awaitTermination()
-    return spark.read.parquet(f"{base}/ring")
+    dumps = logs.log(spark, sf_dir, logs.CLUSTER_LOG).drop("file_name")
+    for part in (2, 0, 1):
+        dumps.where(F.col("file_offset") % 3 == part).write.mode("append").parquet(f"{base}/files")
+    dumps.where(F.col("file_offset") % 7 == 0).write.mode("append").parquet(f"{base}/files")
+    stream = read_events(spark, f"{base}/files", stream=True, files_per_batch=2)
+    append(ring_rows(stream, cluster_diagnostics.RING_SECURITY), f"{base}/ring", f"{base}/checkpoint").awaitTermination()
+    return distinct_rows(spark.read.parquet(f"{base}/ring"))
 
 
 _SECURITY_FULL = """ts AS RBEventTimeStampUTC, v_id AS ID, v_timestamp AS "timestamp", v_session_id AS SessionID,
  v_error_code AS ErrorCode, v_api_name AS APIName, v_calling_api_name AS CallingAPIName"""
-register("ring_security_stream", ring_security_stream, distinct_rows(_SECURITY_FULL, logs.RING_SECURITY))
+register("ring_security_stream", ring_security_stream, oracle_rows(_SECURITY_FULL, logs.RING_SECURITY))
 
 # ------------------------------------------------------ file formats and layers
 
@@ -128,7 +132,7 @@ register("events_from_xml", errors_from_xml, ERRORS)
 
 def stored_raw_layer(spark, sf_dir):
     """The raw log stored by event type; the route reads one partition."""
-    raw = save_raw(logs.log(spark, sf_dir, logs.HEALTH_LOG), f"{shared_folder(spark)}/raw", files_per_event=4)
+    raw = save_raw(logs.log(spark, sf_dir, logs.HEALTH_LOG), f"{shared_folder(spark)}/raw")
     return shred(raw, health_log.REPLICA_STATE, cut=True)
 
 
@@ -164,6 +168,91 @@ def stored_tables(spark, sf_dir):
 
 register("reloaded_table", stored_tables, STATES)
 
+# -------------------------------------------------------- every record accounted for
+
+
+def accounted(sources, specs):
+    """Records of a stored log by what became of them, odd ones included."""
+
+    def query(spark, sf_dir):
+        log = logs.log(spark, sf_dir, sources, broken=True).unionByName(logs.odd_events(spark, sf_dir))
+        return sorted_out(save_raw(log, f"{shared_folder(spark)}/raw"), specs).groupBy("fate").agg(F.count("*").alias("records"))
+
+    return query
+
+
+def _accounted(**fates) -> str:
+    """Oracle: the records of each fate are the rows of the tables they were made from."""
+    return " UNION ALL ".join(
+        f"SELECT '{fate.replace('_', ' ')}' AS fate, " + " + ".join(f"(SELECT count(*) FROM {t})" for t in tables) + " AS records"
+        for fate, tables in fates.items()
+    )
+
+
+_BROKEN = ["region", "region"]  # cut short, and under a foreign root
+# Components that no table takes: of the server's own events, whose payload is no ring buffer here.
+_SH, _SH_KNOWN = logs.SH_COMPONENT.oracle(), "upper(t_component) IN ('SYSTEM', 'RESOURCE', 'IO_SUBSYSTEM', 'QUERY_PROCESSING')"
+_SD, _SD_EVENTS = logs.SD_COMPONENT.oracle(), "coalesce(lower(v_component_name) = 'events', FALSE)"
+register(
+    "accounted_health_log",
+    accounted(logs.HEALTH_LOG, health_log.TABLES),
+    _accounted(typed=[x.table for x in logs.HEALTH_LOG if x is not logs.UNLISTED_EVENT], unrouted=["nation", "nation"], quarantine=_BROKEN),
+)
+register(
+    "accounted_system_health",
+    accounted(logs.SYSTEM_HEALTH_LOG, system_health.TABLES),
+    _accounted(
+        typed=[x.table for x in logs.SYSTEM_HEALTH_LOG if x is not logs.SH_COMPONENT] + [f"{_SH} WHERE {_SH_KNOWN}"],
+        unrouted=["nation", f"{_SH} WHERE NOT {_SH_KNOWN}"],
+        quarantine=_BROKEN,
+    ),
+)
+register(
+    "accounted_cluster_log",
+    accounted(logs.CLUSTER_LOG, cluster_diagnostics.TABLES),
+    _accounted(
+        typed=[f"{_SD} WHERE NOT {_SD_EVENTS}", logs.SD_STATUS.table, logs.SD_INFO.table],
+        ring_buffer=[x.table for x in logs.SD_DUMPS],
+        unrouted=["nation", f"{_SD} WHERE {_SD_EVENTS}"],
+        quarantine=_BROKEN,
+    ),
+)
+
+
+def raw_layer(sources):
+    """The raw layer of a log, stored and read back in full."""
+    columns = ["object_name", "event_data", "file_name", "file_offset"]
+    return lambda spark, sf_dir: save_raw(logs.log(spark, sf_dir, sources), f"{shared_folder(spark)}/raw").select(columns)
+
+
+def _raw_oracle(sources) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{x.event}' AS object_name, {x.xml()} AS event_data, '{x.table}_0_1.xel' AS file_name, CAST({x.key} AS BIGINT) AS file_offset FROM {x.table}"
+        for x in sources
+    )
+
+
+for _name, _sources in [("health_log", logs.HEALTH_LOG), ("system_health", logs.SYSTEM_HEALTH_LOG), ("cluster_log", logs.CLUSTER_LOG)]:
+    register(f"raw_layer_{_name}", raw_layer(_sources), _raw_oracle(_sources))
+
+
+def one_capture_file(spark, sf_dir):
+    """Records of a single capture file, through a named view."""
+    raw = save_raw(logs.log(spark, sf_dir, logs.HEALTH_LOG), f"{shared_folder(spark)}/raw")
+    name_for_sql({"one_file_events": only_files(raw, f"{logs.LEASE_EVENT.table}_0_1.xel")})
+    return spark.sql("SELECT object_name, file_offset FROM one_file_events")
+
+
+register(
+    "one_capture_file",
+    one_capture_file,
+    " UNION ALL ".join(
+        f"SELECT '{x.event}' AS object_name, CAST({x.key} AS BIGINT) AS file_offset FROM {x.table}"
+        for x in logs.HEALTH_LOG
+        if x.table == logs.LEASE_EVENT.table
+    ),
+)
+
 # ------------------------------------------------------------- publishing
 
 _CUSTOMER = "c_custkey AS user_id, c_name AS name, c_acctbal AS value"
@@ -218,6 +307,28 @@ def replicated_copy(spark, sf_dir):
 
 
 register("replicated_copy", replicated_copy, _APPLIED)
+
+
+def late_changes(spark, sf_dir):
+    """The newest half of a feed is folded in first; the older half, repeats and NULL keys come later."""
+    base = shared_folder(spark)
+    source = _source(spark, sf_dir)
+    source = source.unionByName(source.where("user_id = 1").withColumn("user_id", F.lit(None).cast("long")))
+    feed = _feed(spark, sf_dir)
+    feed = feed.unionByName(feed.where("user_id <= 3").withColumn("user_id", F.lit(None).cast("long")))
+    newest = feed.join(feed.agg(F.expr("(min(sequence) + max(sequence)) DIV 2 AS m")), F.col("sequence") > F.col("m")).drop("m")
+    folded = compact(source, newest, ["user_id"], f"{base}/folded")
+    again = compact(folded, feed.unionByName(feed), ["user_id"], f"{base}/again")
+    return current_copy(again, untaken(feed, again, ["user_id"]), ["user_id"])
+
+
+_LATE = f"""
+WITH feed AS (SELECT {_FEED} FROM events), every AS (SELECT * FROM feed UNION ALL SELECT NULL, name, value, operation, sequence FROM feed WHERE user_id <= 3),
+ last AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY sequence DESC) AS rn FROM every) WHERE rn = 1),
+ source AS (SELECT {_CUSTOMER} FROM customer UNION ALL SELECT NULL, c_name, c_acctbal FROM customer WHERE c_custkey = 1)
+SELECT user_id, name, value FROM source s WHERE NOT EXISTS (SELECT 1 FROM last l WHERE l.user_id IS NOT DISTINCT FROM s.user_id)
+UNION ALL SELECT user_id, name, value FROM last WHERE lower(operation) <> 'delete'"""
+register("late_changes", late_changes, _LATE)
 register(
     "added_column",
     lambda spark, sf_dir: publish.add_columns(

@@ -14,6 +14,7 @@ from eventloom.operators.shred import bad_literals, settle, shred
 from eventloom.operators.envelope import quarantine
 from eventloom.plans import health_log as reports
 from eventloom.plans import waits as wait_reports
+from eventloom.sources.tables import save_raw, shared_folder
 from eventloom.tables import health_log as tables
 from eventloom.tables.wait_capture import WAIT_INFO
 
@@ -104,8 +105,8 @@ FROM {logs.VALIDATION_EVENT.oracle()}"""
 WAITS = f"""
 SELECT object_name, ts AS TimeStamp, t_wait_type AS WaitType, {big('v_duration')} AS Duration,
        {big('v_signal_duration')} AS Signal_Duration, {num('a_v_session_id')} AS Session_ID,
-       {num('a_v_scheduler_id')} AS Scheduler_ID, {num('a_v_event_sequence')} AS EventSequenceNum
-FROM {logs.WAIT_EVENT.oracle()}"""
+       {num('a_v_scheduler_id')} AS Scheduler_ID, {num('a_v_event_sequence')} AS EventSequenceNum, event_data AS EventData
+FROM {logs.WAIT_EVENT.oracle(True)}"""
 
 for spec, sql in [
     (tables.ERROR_REPORTED, ERRORS),
@@ -209,7 +210,8 @@ LEFT JOIN {_COUNTS} c ON s.XEvent = left(c.object_name, 50)"""
 
 
 def names(spark, sf_dir):
-    return logs.event_names(spark, sf_dir, logs.HEALTH_LOG, broken=True)
+    """The stored raw layer; the event names are its partitions, so no event text is read."""
+    return save_raw(raw(spark, sf_dir), shared_folder(spark))
 
 
 def event_summary(version):

@@ -14,12 +14,16 @@ def raw(spark, sf_dir):
 
 
 def table(spec):
-    return lambda spark, sf_dir: settle(shred(raw(spark, sf_dir), spec))
+    return lambda spark, sf_dir: shred(raw(spark, sf_dir), spec)
 
 
-def oracle(source, columns: str, where: str = "", with_xml: bool = False) -> str:
-    raw_text = ", event_data AS EventData" if with_xml else ""
-    return f"SELECT object_name, ts AS TimeStampUTC, {columns}{raw_text} FROM {source.oracle(with_xml)} {where}"
+def sorted_table(spec):
+    """For a report that sorts: the sort's sampling pass does not parse again."""
+    return lambda spark, sf_dir: settle(table(spec)(spark, sf_dir))
+
+
+def oracle(source, columns: str, where: str = "") -> str:
+    return f"SELECT object_name, ts AS TimeStampUTC, {columns}, event_data AS EventData FROM {source.oracle(True)} {where}"
 
 
 SECURITY = oracle(
@@ -36,7 +40,6 @@ _ERROR_COLUMNS = f"""{big('v_error_number')} AS error_number, {big('v_severity')
     v_user_defined AS user_defined, t_category AS category, t_destination AS destination, v_is_intercepted AS is_intercepted,
     v_message AS message, a_v_session_id AS session_id, a_v_database_id AS database_id"""
 ERRORS = oracle(logs.SH_ERROR, _ERROR_COLUMNS)
-ERRORS_WITH_RAW = oracle(logs.SH_ERROR, _ERROR_COLUMNS, with_xml=True)
 _TAIL = """v_user_mode_time AS UserModeTime, v_kernel_mode_time AS KernelModeTime, v_page_faults AS PageFaults,
     v_working_set_delta AS WorkingSetDelta, v_memory_utilization AS MemoryUtilization"""
 DEADLOCK = oracle(
@@ -155,7 +158,7 @@ _LISTED = {
 
 
 def listing(spec):
-    return lambda spark, sf_dir: reports.listing(table(spec)(spark, sf_dir))
+    return lambda spark, sf_dir: reports.listing(sorted_table(spec)(spark, sf_dir))
 
 
 for spec in reports.LISTED:
@@ -163,21 +166,21 @@ for spec in reports.LISTED:
 
 register(
     "system_waits",
-    lambda sp, d: reports.system_waits(table(tables.WAIT_INFO)(sp, d)),
+    lambda sp, d: reports.system_waits(sorted_table(tables.WAIT_INFO)(sp, d)),
     f"""SELECT TimeStampUTC, left(WaitType, 25) AS WaitType, left(OpCode, 6) AS OpCode, left(duration, 12) AS "Duration(ms)",
     left(signal_duration, 15) AS "Signal Duration(ms)" FROM ({WAITS})""",
 )
 register(
     "system_external_waits",
-    lambda sp, d: reports.system_external_waits(table(tables.WAIT_INFO_EXTERNAL)(sp, d)),
+    lambda sp, d: reports.system_external_waits(sorted_table(tables.WAIT_INFO_EXTERNAL)(sp, d)),
     f"""SELECT TimeStampUTC, left(WaitTypeText, 40) AS WaitTypeText, left(OpCodeText, 6) AS OpCode,
     left(Duration, 12) AS "Duration(ms)" FROM ({WAITS_EXTERNAL})""",
 )
 register(
     "system_errors",
-    lambda sp, d: reports.system_errors(table(tables.ERROR_REPORTED.keeping_raw())(sp, d)),
+    lambda sp, d: reports.system_errors(sorted_table(tables.ERROR_REPORTED)(sp, d)),
     f"""SELECT TimeStampUTC, left(CAST(error_number AS VARCHAR), 11) AS ErrorNumber, left(CAST(severity AS VARCHAR), 10) AS Severity,
     left(CAST(state AS VARCHAR), 10) AS State, left(user_defined, 10) AS UserDefined, left(category, 10) AS Category,
     left(destination, 10) AS Destination, left(is_intercepted, 15) AS IsIntercepted, message, session_id, database_id,
-    EventData FROM ({ERRORS_WITH_RAW})""",
+    EventData FROM ({ERRORS})""",
 )

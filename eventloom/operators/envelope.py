@@ -8,7 +8,7 @@
     action_names / actions    every action/value
     type_names                every data/type/@name
     <payload columns>         the first nested component of each requested kind
-    malformed                 the record is not well-formed XML
+    malformed                 the record is not well-formed XML, or its root is no event
 
 A name lookup is `array_position` + `get`, a positional read is `get`; both are native and cost
 no further parse. The arrays come out of an `inline`, which keeps predicates on them from being
@@ -28,6 +28,11 @@ OPTIONS = {"mode": "PERMISSIVE", "ignoreSurroundingSpaces": "false"}
 VALUES, TEXTS, ACTIONS, TYPES = "values", "texts", "actions", "types"
 EVERY_PART = frozenset({VALUES, TEXTS, ACTIONS, TYPES})
 
+#: One attribute of a tag, in either kind of quotes; a value may hold a closing bracket.
+ATTRIBUTE = r"""[^\s=<>"'/]+\s*=\s*(?:"[^"]*"|'[^']*')"""
+#: The root element, behind declarations and comments.
+_ROOT = r"(?s)^\uFEFF?\s*(?:<\?.*?\?>\s*|<!--.*?-->\s*|<!DOCTYPE[^>]*>\s*)*<event[\s/>]"
+
 
 def _value_type(payload: dict[str, str] | None) -> str:
     """A `value` element: its own text plus the nested components asked for."""
@@ -104,7 +109,7 @@ def parse(
         F.col("event._name").alias("event_name"),
         F.col("event._timestamp").alias("stamp"),
         *arrays(F.col("event.data"), F.col("event.action") if ACTIONS in parts else None, parts, payload),
-        (F.col("event").isNull() | F.col("event._corrupt_record").isNotNull()).alias("malformed"),
+        (F.col("event").isNull() | F.col("event._corrupt_record").isNotNull() | ~F.col("event_data").rlike(_ROOT)).alias("malformed"),
     )
     kept = [F.col(c) for c in raw.columns]
     opened = event.select(*kept, F.inline(F.array(parsed)))
@@ -129,5 +134,5 @@ def well_formed(parsed: DataFrame) -> DataFrame:
 
 
 def quarantine(raw: DataFrame) -> DataFrame:
-    """The raw records no typed table can take: text that is absent or not well-formed."""
+    """The raw records no typed table can take: text that is absent, not well-formed, or no event."""
     return parse(raw, parts=frozenset()).where("malformed").select(*raw.columns)

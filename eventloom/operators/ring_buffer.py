@@ -23,15 +23,23 @@ from eventloom.operators import envelope
 from eventloom.operators.specs import TableSpec
 
 TARGET = "RingBufferTarget"
-_BUFFER = rf"(?s)<{TARGET}\b[^>]*(?<!/)>.*?</{TARGET}\s*>"
+# The inside of a tag: quoted values may hold brackets and slashes.
+_INSIDE = r"""(?:[^>"'/]|"[^"]*"|'[^']*'|/(?!>))*+"""
+_BUFFER = rf"(?s)<{TARGET}\b{_INSIDE}>.*?</{TARGET}\s*>"
 # Comments, CDATA and processing instructions can hide or fake a tag.
 _HIDDEN = r"<[!?]"
 _TWO_EVENTS = r"(?s).<event\b"
 
 
-def _event_pattern(name: str) -> str:
-    named = rf"<event\b(?=[^>]*\bname\s*=\s*[\"\']{name}[\"\'])[^>]*"
-    return rf"(?s){named}(?:/>|(?<!/)>.*?</event\s*>)"
+_ANY_START = r"<event\b"
+# A name written with character references is left to the parser.
+_REFERENCE = r"""<event\b[^<]*\bname\s*=\s*(?:"[^"]*&|'[^']*&)"""
+
+
+def _event_pattern(name: str | None = None) -> str:
+    """Whole event elements: of that name, or all of them."""
+    named = rf"(?=(?:\s+{envelope.ATTRIBUTE})*?\s+name\s*=\s*[\"\']{name}[\"\'])" if name else ""
+    return rf"(?s)<event\b{named}{_INSIDE}(?:/>|>.*?</event\s*>)"
 
 
 def _wrapped(text: Column) -> Column:
@@ -41,16 +49,18 @@ def _wrapped(text: Column) -> Column:
 def holds(event_name: str) -> Column:
     """True for a record whose ring buffers may have an event of that name.
 
-    A substring test: it never misses one, and what it lets through by mistake yields no row.
+    A substring test: it misses none, character references included, and what it lets through by
+    mistake yields no row.
     """
     xml = F.col("event_data")
-    return F.contains(xml, F.lit(f"<{TARGET}")) & F.contains(xml, F.lit(event_name))
+    return F.contains(xml, F.lit(f"<{TARGET}")) & (F.contains(xml, F.lit(event_name)) | F.contains(xml, F.lit("&#")))
 
 
 def matching_text(raw: DataFrame, event_name: str, mode: str) -> DataFrame:
     """`buffers`: XML text holding the matching events, per event (all) or per record (first).
 
-    Records whose tags cannot be told by pattern contribute the whole of their buffers.
+    Records whose tags cannot be told by pattern, or where the pattern does not find as many events as
+    there are starts of one, contribute the whole of their buffers.
     """
     buffers = F.array_join(F.regexp_extract_all("event_data", F.lit(_BUFFER), F.lit(0)), "")
     cut = (
@@ -58,7 +68,8 @@ def matching_text(raw: DataFrame, event_name: str, mode: str) -> DataFrame:
         .select(F.inline(F.array(F.struct(buffers.alias("dump")))))
         .select("dump", F.regexp_extract_all("dump", F.lit(_event_pattern(event_name)), F.lit(0)).alias("pieces"))
     )
-    irregular = F.col("dump").rlike(_HIDDEN) | F.exists("pieces", lambda p: p.rlike(_TWO_EVENTS))
+    uncut = F.regexp_count("dump", F.lit(_event_pattern())) != F.regexp_count("dump", F.lit(_ANY_START))
+    irregular = F.col("dump").rlike(_HIDDEN) | F.col("dump").rlike(_REFERENCE) | uncut | F.exists("pieces", lambda p: p.rlike(_TWO_EVENTS))
     if mode == "all":
         units = F.when(irregular, F.array("dump")).otherwise(F.transform("pieces", _wrapped))
         return cut.select(F.explode(units).alias("buffers"))

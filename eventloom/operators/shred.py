@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventloom.functions.typed import STRING, failed
@@ -51,6 +53,35 @@ def shred(events: DataFrame, spec: TableSpec, cut: bool = False, mode: str = "al
     return table.distinct() if spec.ring_buffer else table
 
 
+def sorted_out(raw: DataFrame, specs: Iterable[TableSpec]) -> DataFrame:
+    """The raw records with `fate`: where each one ends up, decided with one parse.
+
+        quarantine   not well-formed, or its root is no event
+        typed        taken by at least one table of `specs`
+        ring buffer  a dump whose nested events are taken, not the record itself
+        unrouted     well-formed, and no table's: an unlisted or NULL event type, an unknown shape
+    """
+    specs = list(specs)
+    plain = [s for s in specs if not s.ring_buffer]
+    parts = frozenset().union(*[s.parts for s in plain])
+    parsed = envelope.parse(raw, parts, {k: v for s in plain for k, v in s.payload.items()})
+
+    def takes(spec: TableSpec) -> Column:
+        right = F.col("object_name").eqNullSafe(spec.event) if spec.event else F.lit(True)
+        return right & F.coalesce(spec.where(), F.lit(False)) if spec.where is not None else right
+
+    dumps = [F.col("object_name").eqNullSafe(s.event) for s in specs if s.ring_buffer]
+    ring = reduce(or_, dumps, F.lit(False)) & F.contains("event_data", F.lit("<RingBufferTarget"))
+    typed = reduce(or_, map(takes, plain), F.lit(False))
+    fate = F.when(F.col("malformed"), "quarantine").when(typed, "typed").when(ring, "ring buffer").otherwise("unrouted")
+    return parsed.select(*raw.columns, fate.alias("fate"))
+
+
+def unrouted(raw: DataFrame, specs: Iterable[TableSpec]) -> DataFrame:
+    """The well-formed raw records that no table of `specs` takes."""
+    return sorted_out(raw, specs).where("fate = 'unrouted'").drop("fate")
+
+
 def settle(table: DataFrame) -> DataFrame:
     """Put an exchange behind a lazily shredded table.
 

@@ -4,8 +4,8 @@ The raw layer is
 
     object_name STRING, event_data STRING, file_name STRING, file_offset BIGINT
 
-A record is identified by (file_name, file_offset); no dense row number is made up, since that
-would need a global sort.
+A record is identified by (file_name, file_offset), in text files by its text; no dense row number is
+made up, since that would need a global sort.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ RAW_COLUMNS = ["object_name", "event_data", "file_name", "file_offset"]
 RAW_SCHEMA = "object_name STRING, event_data STRING, file_offset BIGINT"
 FORMATS = ("parquet", "orc", "json", "csv", "text")
 
-_FIRST_NAME = r'<event\b[^>]*?\bname\s*=\s*"([^"]*)"'
+_FIRST_NAME = rf"<event\b(?:\s+{envelope.ATTRIBUTE})*?\s+name\s*=\s*(?:\"([^\"]*)\"|'([^']*)')"
 
 
 def _reader(spark: SparkSession, stream: bool, pattern: str | None):
@@ -32,24 +32,28 @@ def _with_file_name(df: DataFrame) -> DataFrame:
 
 
 def read_events(
-    spark: SparkSession, path: str, fmt: str = "parquet", pattern: str | None = None, stream: bool = False
+    spark: SparkSession, path: str, fmt: str = "parquet", pattern: str | None = None, stream: bool = False, files_per_batch: int | None = None
 ) -> DataFrame:
     """Exported event records under `path`, optionally only files matching `pattern`.
 
     parquet, orc, json and csv files hold the columns object_name, event_data and file_offset;
-    text files hold one event element per line. A csv file is read by one task, since event text
-    may hold line breaks; the other formats are split. `stream` follows the folder instead.
+    text files hold one event element per line and have no offsets: they are NULL, and a record is
+    told apart by its text. A csv file is read by one task, since event text
+    may hold line breaks; the other formats are split. `stream` follows the folder instead,
+    with at most `files_per_batch` files in a micro-batch.
     """
     if fmt not in FORMATS:
         raise ValueError(f"format must be one of {FORMATS}, not {fmt!r}")
     reader = _reader(spark, stream, pattern)
+    if stream and files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
     if fmt == "text":
         lines = reader.text(path).where(F.trim("value") != "")
         named = lines.select(
-            F.nullif(F.regexp_extract("value", _FIRST_NAME, 1), F.lit("")).alias("object_name"),
+            F.nullif(F.concat(*[F.regexp_extract("value", _FIRST_NAME, i) for i in (1, 2)]), F.lit("")).alias("object_name"),
             F.col("value").alias("event_data"),
             F.col("_metadata.file_path").alias("file_name"),
-            F.col("_metadata.file_block_start").alias("file_offset"),
+            F.lit(None).cast("bigint").alias("file_offset"),
         )
         return named
     reader = reader.schema(RAW_SCHEMA)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterable
 
@@ -17,14 +16,11 @@ from eventloom.operators.specs import TableSpec
 def shared_folder(spark: SparkSession) -> str:
     """A fresh folder under the cluster's checkpoint directory.
 
-    Executors and a restarted driver must both reach it, so a temporary folder of this machine
-    is accepted in local mode only.
+    Executors and a restarted driver must both reach it. Where `spark.checkpoint.dir` is unset the
+    warehouse folder, which they share as well, takes its place. Whoever owns the setting empties
+    the folder; results that read from it are lazy, so nothing here does.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="eventloom-")
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/eventloom-{uuid.uuid4().hex}"
 
 
@@ -42,23 +38,18 @@ def save_as_table(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.table(name)
 
 
-def save_raw(raw: DataFrame, path: str, files_per_event: int | None = None) -> DataFrame:
+def save_raw(raw: DataFrame, path: str) -> DataFrame:
     """The raw layer partitioned by event type, so that a route reads only its own files.
 
-    Without `files_per_event` nothing is shuffled and every task writes its own file per type.
-    With it, the rows of each type are dealt out to up to that many files in turn (AQE merges
-    small ones), so one dominant type, or one event repeated over and over, is still written by
-    many tasks.
+    The rows are rebalanced by type: AQE merges small types and splits a dominant one by bytes, so
+    files have a useful size and the number of writing tasks grows with the data.
     """
-    if files_per_event:
-        slot = F.pmod(F.monotonically_increasing_id(), F.lit(files_per_event))
-        raw = raw.withColumn("slot", slot).repartition("object_name", "slot").drop("slot")
-    return save(raw, path, ["object_name"])
+    return save(raw.hint("rebalance", "object_name"), path, ["object_name"])
 
 
 def save_parsed(raw: DataFrame, path: str, payload: dict[str, str] | None = None) -> DataFrame:
     """The parsed layer as columnar files: each record is parsed once for all its tables."""
-    return save(envelope.parse(raw, payload=payload), path, ["object_name"])
+    return save(envelope.parse(raw, payload=payload).hint("rebalance", "object_name"), path, ["object_name"])
 
 
 def save_tables(events: DataFrame, specs: Iterable[TableSpec], path: str, cut: bool = False) -> dict[str, DataFrame]:

@@ -1,17 +1,14 @@
-"""Continuous ingestion: follow capture files, shred, append; drop repeated ring-buffer events."""
+"""Continuous ingestion: follow capture files, shred, append; ring-buffer events are made distinct when read."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from eventloom.operators.ring_buffer import ring_events
 from eventloom.operators.shred import route, shred
 from eventloom.operators.specs import TableSpec
 
-RING_TIME = "RBEventTimeStampUTC"
-
 
 def append_table(events: DataFrame, spec: TableSpec, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
     """Shred a stream of raw events into an append-only table.
@@ -27,16 +24,23 @@ def append(rows: DataFrame, path: str, checkpoint: str, trigger: dict | None = N
     return writer.trigger(**(trigger or {"availableNow": True})).start(path)
 
 
-def distinct_ring_events(events: DataFrame, spec: TableSpec, keep_for: str = "1 hour") -> DataFrame:
-    """Ring-buffer events of a stream, each once.
+def ring_rows(events: DataFrame, spec: TableSpec) -> DataFrame:
+    """Ring-buffer events of a stream, as often as their buffers repeat them; keeps no state.
 
-    A buffer repeats an event until it is overwritten; `keep_for` is how long an event can keep
-    coming back, and bounds the state.
+    Buffers hold old events by nature, so no watermark can tell a late event from a repeat. Append
+    these rows, and remove the repeats where they are read (`distinct_rows`) or from time to time
+    (`compact_rows`).
     """
     rows = ring_events(route(events, spec), spec, unique_text=False)
-    table = rows.select(*[s.column(False).alias(n) for n, s in spec.columns.items()])
-    # Watermarks run on instants; the zone-less UTC time is turned into one without the session zone.
-    since_epoch = F.timestamp_diff("MICROSECOND", F.expr("timestamp_ntz'1970-01-01 00:00:00'"), F.col(RING_TIME))
-    clocked = table.withColumn("event_clock", F.timestamp_micros(since_epoch))
-    unique = clocked.withWatermark("event_clock", keep_for).dropDuplicatesWithinWatermark(table.columns)
-    return unique.drop("event_clock")
+    return rows.select(*[s.column(False).alias(n) for n, s in spec.columns.items()])
+
+
+def distinct_rows(appended: DataFrame) -> DataFrame:
+    """Each event once, however many batches brought it, in whatever order."""
+    return appended.distinct()
+
+
+def compact_rows(appended: DataFrame, path: str) -> DataFrame:
+    """Write the distinct rows as a table of its own. `path` must not be the one being read."""
+    distinct_rows(appended).write.mode("overwrite").parquet(path)
+    return appended.sparkSession.read.schema(appended.schema).parquet(path)

@@ -2,8 +2,9 @@
 
 The stream only appends changes, so a micro-batch costs what it brings and never rewrites the
 copy. A reader sees snapshot plus changes; `compact` folds the changes into a new snapshot from
-time to time. Applying a change twice, or a change older than the snapshot's last one for a key,
-is harmless as long as `sequence` orders the changes of a key.
+time to time, as a versioned copy with tombstones. Applying a change twice, or a change older than
+the snapshot's last one for a key, is harmless as long as `sequence` orders the changes of a key; so
+changes that a snapshot has taken in can be trimmed, or be left for later.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from eventloom.operators.publish import apply_changes
+from eventloom.operators.publish import SEQUENCE, VERSION, apply_changes, merge_changes, same_keys
 from eventloom.streaming.ingest import append
 
 
@@ -28,6 +29,18 @@ def current_copy(snapshot: DataFrame, changes: DataFrame, keys: Sequence[str]) -
 
 
 def compact(snapshot: DataFrame, changes: DataFrame, keys: Sequence[str], path: str) -> DataFrame:
-    """Write the current copy as the next snapshot. `path` must not be the one being read."""
-    current_copy(snapshot, changes, keys).write.mode("overwrite").parquet(path)
-    return snapshot.sparkSession.read.parquet(path)
+    """Write the merged, versioned copy as the next snapshot. `path` must not be the one being read.
+
+    Read it with `visible`, or with `current_copy` and the changes that came since.
+    """
+    merged = merge_changes(snapshot, changes, keys)
+    merged.write.mode("overwrite").parquet(path)
+    return snapshot.sparkSession.read.schema(merged.schema).parquet(path)
+
+
+def untaken(changes: DataFrame, snapshot: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The changes that a versioned snapshot has not taken in: what is left of the history after trimming."""
+    if VERSION not in snapshot.columns:
+        return changes
+    held = snapshot.select(*keys, VERSION)
+    return changes.join(held, same_keys(changes, held, keys) & (changes[SEQUENCE] <= held[VERSION]), "left_anti")

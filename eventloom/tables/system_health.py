@@ -18,7 +18,7 @@ FILE_PATTERN = "*system_health_*.xel"
 
 def _table(name: str, event: str, columns: dict[str, Source], **more) -> TableSpec:
     common = {"object_name": column("object_name"), "TimeStampUTC": stamp()}
-    return TableSpec(table=name, event=event, columns={**common, **columns}, **more)
+    return TableSpec(table=name, event=event, columns={**common, **columns}, **more).keeping_raw()
 
 
 SECURITY_ERROR = _table(

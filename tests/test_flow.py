@@ -9,7 +9,7 @@ from eventloom.sources.events import only_files, read_event_xml, read_events
 from eventloom.sources.state import Snapshot
 from eventloom.sources.tables import register, save, save_as_table, save_parsed, save_raw, save_tables, shared_folder
 from eventloom.streaming.capture import capture_waits
-from eventloom.streaming.ingest import append, append_table, distinct_ring_events
+from eventloom.streaming.ingest import append, append_table, compact_rows, distinct_rows, ring_rows
 from eventloom.streaming.replicate import collect_changes, current_copy
 from eventloom.tables import cluster_diagnostics as sd
 from eventloom.tables.health_log import ERROR_REPORTED
@@ -55,7 +55,7 @@ def test_xml_documents(spark, tmp_path):
 
 def test_layers_and_reload(spark, tmp_path):
     events = raw(spark, ("error_reported", error(1)), ("error_reported", error(2)), ("other", event("other", "")))
-    stored = save_raw(events, str(tmp_path / "raw"), files_per_event=2)
+    stored = save_raw(events, str(tmp_path / "raw"))
     assert sorted(r.error_number for r in shred(stored, ERROR_REPORTED).collect()) == [1, 2]
     scan = stored.where("object_name = 'other'")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(object_name" in scan
@@ -71,15 +71,21 @@ def test_layers_and_reload(spark, tmp_path):
 
 
 def test_one_dominant_event_type_is_spread(spark, tmp_path):
-    events = raw(spark, *[("error_reported", error(1))] * 400, ("other", event("other", "")))
-    # AQE would merge pieces this small.
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    """More rows of one type are written by more tasks: the rebalance splits it by bytes."""
+    advisory = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(advisory, "32k")
     try:
-        save_raw(events, str(tmp_path / "raw"), files_per_event=8)
+        files = []
+        for n in (2_000, 16_000):
+            rows = spark.range(0, n, 1, 16).selectExpr(
+                "'error_reported' AS object_name", "sha2(CAST(id AS STRING), 256) AS event_data", "'f' AS file_name", "id AS file_offset"
+            )
+            stored = save_raw(rows, str(tmp_path / f"raw{n}"))
+            assert stored.count() == n
+            files.append(stored.select(F.input_file_name()).distinct().count())
     finally:
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
-    files = spark.read.parquet(str(tmp_path / "raw")).groupBy(F.input_file_name()).count().orderBy("count").collect()
-    assert len(files) > 4 and files[-1]["count"] <= 200 and sum(f["count"] for f in files) == 401
+        spark.conf.unset(advisory)
+    assert files[1] >= 3 * files[0]
 
 
 def test_result_tables_get_names(spark):
@@ -155,19 +161,20 @@ def test_stream_ingestion(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "o")).count() == 6
 
 
-def test_stream_drops_repeated_ring_events(spark, tmp_path):
+def test_stream_keeps_late_ring_events_and_each_once(spark, tmp_path):
     def security(i):
-        return event("security_error_ring_buffer_recorded", data("id", str(i)), f"2024-01-01T00:0{i}:00Z")
+        return event("security_error_ring_buffer_recorded", data("id", str(i)), f"2024-01-{10 - i:02}T00:00:00Z")
 
-    dumps = [component(name="events", payload=ring(*[security(i) for i in ids])) for ids in ([1, 2], [1, 2, 3], [2, 3])]
+    dumps = [component(name="events", payload=ring(*[security(i) for i in ids])) for ids in ([1, 2], [1, 2, 9], [2, 3])]
     folder, out = str(tmp_path / "f"), str(tmp_path / "o")
     counts = []
     for dump in dumps:
         raw(spark, dump, name=sd.COMPONENT_EVENT).drop("file_name").write.mode("append").parquet(folder)
-        rows = distinct_ring_events(read_events(spark, folder, stream=True), sd.RING_SECURITY)
+        rows = ring_rows(read_events(spark, folder, stream=True), sd.RING_SECURITY)
         append(rows, out, str(tmp_path / "c")).awaitTermination()
-        counts.append(spark.read.parquet(out).count())
-    assert counts == [2, 3, 3]
+        counts.append(distinct_rows(spark.read.parquet(out)).count())
+    assert counts == [2, 3, 4]
+    assert compact_rows(spark.read.parquet(out), str(tmp_path / "compact")).count() == 4
 
 
 def test_apply_changes(spark):
