@@ -38,16 +38,32 @@ ENTRY_SIZE, FOOTER_SIZE = struct.calcsize(ENTRY), struct.calcsize(FOOTER)
 GAP_MAGIC, TABLE_MAGIC, FOOTER_MAGIC, VERSION = 0x184D2A50, 0x184D2A5E, 0x53454B54, 1
 GAP = struct.pack(HEAD, GAP_MAGIC, 0)
 NO_ID = -(2**63)
-#: Distinct words a task remembers the ids of.
-REMEMBERED = 250_000
+#: Distinct words that each of a task's two generations of remembered ids holds.
+REMEMBERED = 150_000
+
+
+#: A full stop or comma between an ASCII letter and white space.
+END_MARK = re.compile(rb"(?<=[A-Za-z])([.,])(?=\s)")
+
+
+#: Words of these letters are in composed form, and are one piece before merging.
+LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+
+
+def byte_names() -> list[str]:
+    """Byte-level models write each byte as a printable character: itself, or the next one from 256 on."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = iter(range(256, 512))
+    return [chr(b if b in own else next(rest)) for b in range(256)]
 
 
 class WordIds:
     """Ids of a text from those of its words, as the tokenizer has them.
 
     The tokenizer drops white space and never merges across it, so a text's ids are those of its
-    words in a row. Only words not seen lately are given to the tokenizer. Tokenizers that keep
-    white space encode whole texts instead.
+    words in a row; a full stop or a comma at a word's end is an id of its own. Only words not seen
+    lately are given to the tokenizer: of two generations of remembered words the older is dropped
+    when the younger is full. Tokenizers that keep white space encode whole texts instead.
     """
 
     def __init__(self, definition: str, by_word: bool = True):
@@ -57,29 +73,47 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.by_word = Tokenizer.from_str(definition), by_word
+        self.model, self.plain = self.tokenizer.model, False
+        self.byte_names = byte_names()
         self.dtype = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
         self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
 
     def packed(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        kind = "H" if self.dtype == "<u2" else "I"
+        simple = self.plain and [bool(LETTERS.fullmatch(t)) for t in texts]
+        rest = [t for t, s in zip(texts, simple) if not s] if simple else texts
+        encoded = iter([e.ids for e in self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)] if rest else [])
+        all_ids = [self.by_model(t) if s else next(encoded) for t, s in zip(texts, simple)] if simple else list(encoded)
+        return [struct.pack(f"<{len(ids)}{kind}", *ids) for ids in all_ids]
+
+    def by_model(self, word: str) -> list[int]:
+        """Ids of a word of letters that normalising only lower-cases: straight from the tokenizer's model."""
+        low = word.lower()
+        return [t.id for t in self.model.tokenize(low if low.isascii() else "".join([self.byte_names[b] for b in low.encode()]))]
 
     def encode(self, text: bytes) -> bytes:
         if not self.by_word:
             return self.packed([text.decode("utf-8", "replace")])[0]
-        words, known = text.split(), self.known
-        if new := list(set(words).difference(known)):
-            if len(known) + len(new) > REMEMBERED:
-                known.clear()
-                new = list(set(words))
+        words = END_MARK.sub(rb" \1", text).split()
+        if len(self.known) > REMEMBERED:
+            self.older, self.known = self.known, {}
+        known = self.known
+        if new := set(words).difference(known):
+            for w in new.intersection(self.older):
+                known[w] = self.older[w]
+            new = list(new.difference(known))
             for i in range(0, len(new), 4096):
                 known.update(zip(new[i : i + 4096], self.packed([w.decode("utf-8", "replace") for w in new[i : i + 4096]])))
         return b"".join([known[w] for w in words])
 
 
-def drops_white_space(definition: str) -> bool:
-    """Whether words can be encoded on their own: the ids of a text are those of its pieces, tried on a sample."""
+def shortcuts(definition: str) -> tuple[bool, bool]:
+    """Whether words can be encoded on their own, and words of letters by the model alone: tried on a sample."""
     one, whole = WordIds(definition), WordIds(definition, by_word=False)
-    return all(one.encode(t) == whole.encode(t) for t in (b"a b", b" Ab  cd\n\te ", b"it's  12 x", "é ́ ß".encode()))
+    by_word = all(one.encode(t) == whole.encode(t) for t in (b"a b", b" Ab  cd\n\te ", b"it's  12 x. y, z.", "é ́ ß".encode()))
+    words = ["a", "Alpha", "internationalisation", "ÀÿÖ", "straße", "ciónñasÉ", "Éé"]
+    return by_word, by_word and all(one.by_model(w) == one.tokenizer.encode(w, add_special_tokens=False).ids for w in words)
 
 
 def write_token_files(docs: DataFrame, path: str, definition: str, end_id: int, doc_id: str = "doc_id", text: str = "text", shards: int | None = None) -> None:
@@ -89,11 +123,12 @@ def write_token_files(docs: DataFrame, path: str, definition: str, end_id: int,
     ordered by text. An empty table makes a file without entries or none. shards: number of files,
     else Spark's number of partitions. Other columns are not looked at.
     """
-    by_word = drops_white_space(definition)
+    by_word, plain = shortcuts(definition)
     shared = docs.sparkSession.sparkContext.broadcast(definition)  # the vocabulary's size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordIds(shared.value, by_word)
+        words.plain = plain
         end = np.array([end_id], words.dtype).tobytes()
         packer = zstandard.ZstdCompressor(level=3, write_checksum=True)
         entries, at = [], 0
