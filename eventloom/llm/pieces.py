@@ -6,14 +6,18 @@ piece of no kind costs the lowest score less ten and is written as its UTF-8 byt
 
 Blanks are written as the mark U+2581, with one in front of the text. No piece has a mark behind
 another character, so a mark behind one is always a cut, and what stands between cuts is encoded on
-its own and remembered. A mark in the text itself is written as bytes, so decoding gives back every
+its own and remembered. So is a letter before a mark of punctuation that no piece has behind a letter.
+Chunks not yet known are segmented together: one pass of the automaton over all of them, and the
+relaxation of a position is done for all chunks at once. A mark in the text itself is written as bytes, so decoding gives back every
 text exactly.
 """
 
 from __future__ import annotations
 
 import re
+import struct
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -22,8 +26,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MARK = "▁"
-#: Chunks a task remembers.
-REMEMBERED = 100_000
+#: Chunks that each of a task's two generations of remembered ones holds; characters of a chunk that
+#: is segmented with others; characters of the texts that are encoded together.
+REMEMBERED, SHORT, TOGETHER = 100_000, 48, 400_000
 
 
 def load(model_file: str) -> dict:
@@ -55,13 +60,22 @@ class Encoder:
 
         self.automaton = ahocorasick.Automaton()
         for piece, (i, score) in model["pieces"].items():
-            self.automaton.add_word(piece, (len(piece), score, i))
+            self.automaton.add_word(piece, i)
         self.automaton.make_automaton()
         self.bytes = model["bytes"]
         self.unknown = min((s for _, s in model["pieces"].values()), default=0.0) - 10
-        self.chunks = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+").findall
+        sizes, scores = np.zeros(len(model["written"]), np.int64), np.zeros(len(model["written"]))
+        for piece, (i, score) in model["pieces"].items():
+            sizes[i], scores[i] = len(piece), score
+        self.sizes, self.scores = sizes, scores
+        behind = {b for piece in model["pieces"] for a, b in zip(piece, piece[1:]) if a.isalpha()}
+        cut = "".join(re.escape(c) for c in ",.;:!?#$%&*|" if c not in behind) or MARK
+        self.chunks = re.compile(f"{MARK}*+[A-Za-zÀ-ÖØ-öø-ÿ]++(?=[{cut}])|{MARK}*+[^{MARK}]++|{MARK}++").findall
+        used = {c for piece in model["pieces"] for c in piece}
+        self.apart = next(chr(c) for c in range(0x10FFFF) if chr(c) not in used)
         self.mark = np.array([self.bytes[b] for b in MARK.encode()], "<i4").tobytes()
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def viterbi(self, chunk: str) -> list[int]:
         """Ids of the best segmentation; of equal scores the one whose last piece is longer."""
@@ -79,8 +93,8 @@ class Encoder:
                         best[p], back[p] = score, (p - 1, -1)
 
         single = [False] * (n + 1)
-        for end, (size, score, i) in self.automaton.iter(chunk):
-            p = end + 1
+        for end, i in self.automaton.iter(chunk):
+            p, size, score = end + 1, int(self.sizes[i]), float(self.scores[i])
             if p > done + 1:
                 unknown(p - 1)
                 done = p - 1
@@ -101,28 +115,69 @@ class Encoder:
             p = q
         return out[::-1]
 
+    def segment(self, chunks: list[str]) -> list[list[int]]:
+        """`viterbi` of many short chunks, relaxed a position at a time for all of them."""
+        size = np.fromiter(map(len, chunks), np.int64, len(chunks))
+        start = np.cumsum(np.append(0, size + 1))[:-1]
+        found = np.fromiter(chain.from_iterable(self.automaton.iter(self.apart.join(chunks))), np.int64).reshape(-1, 2)
+        place, piece = found[:, 0] + 1, found[:, 1]  # a place is behind its character
+        at = place - start[np.searchsorted(start, place, "left") - 1]
+        order = np.argsort(at, kind="stable")
+        place, piece = place[order], piece[order]
+        ends = np.searchsorted(at[order], np.arange(int(size.max()) + 2))
+        best = np.full(int(size.sum()) + len(chunks) + 1, -np.inf)
+        back, chosen = np.zeros(len(best), np.int64), np.full(len(best), -1)
+        best[start] = 0.0
+        for p in range(1, int(size.max()) + 1):
+            g, i = place[ends[p] : ends[p + 1]], piece[ends[p] : ends[p + 1]]
+            if len(g):
+                total = best[g - self.sizes[i]] + self.scores[i]
+                first = np.flatnonzero(np.append(True, g[1:] != g[:-1]))
+                most = np.maximum.reduceat(total, first)
+                hit = np.flatnonzero(total == np.repeat(most, np.diff(np.append(first, len(g)))))
+                hit = hit[np.append(True, g[hit][1:] != g[hit][:-1])]  # the longest of equals comes first
+                best[g[hit]], back[g[hit]], chosen[g[hit]] = total[hit], g[hit] - self.sizes[i[hit]], i[hit]
+            every = start[size >= p] + p
+            every = every[~np.isin(every, g[self.sizes[i] == 1])] if len(g) else every
+            unknown = best[every - 1] + self.unknown
+            every, unknown = every[unknown > best[every]], unknown[unknown > best[every]]
+            best[every], back[every], chosen[every] = unknown, every - 1, -1
+        out, back, chosen = [], back.tolist(), chosen.tolist()
+        for chunk, lo, n in zip(chunks, start.tolist(), size.tolist()):
+            ids, g = [], lo + n
+            while g > lo:
+                if chosen[g] >= 0:
+                    ids.append(chosen[g])
+                else:
+                    ids.extend(self.bytes[b] for b in reversed(chunk[g - 1 - lo].encode("utf-8", "surrogatepass")))
+                g = back[g]
+            out.append(ids[::-1])
+        return out
+
     def encode(self, text: str | None) -> bytes:
         """Packed ids, 4 bytes each; null and empty texts have none."""
-        if not text:
-            return b""
-        if MARK in text:
-            first, *rest = text.split(MARK)
-            return self.mark.join([self._plain(MARK + first), *map(self._plain, rest)])
-        return self._plain(MARK + text)
-
-    def _plain(self, text: str) -> bytes:
-        """`text` without marks of its own but for the one put in front."""
-        known, out = self.known, []
-        for chunk in self.chunks(text.replace(" ", MARK)):
-            ids = known.get(chunk)
-            if ids is None:
-                ids = np.array(self.viterbi(chunk), "<i4").tobytes()
-                if len(known) >= REMEMBERED:
-                    known.clear()
-                if len(chunk) <= 64:
-                    known[chunk] = ids
-            out.append(ids)
-        return b"".join(out)
+        return self.encode_many([text])[0]
+
+    def encode_many(self, texts: list[str | None]) -> list[bytes]:
+        """`encode` of each text; what none of them has been seen with is segmented together."""
+        # a text's parts stand between marks of its own; the first has a blank in front
+        parts = [[self.chunks((MARK * (not k) + part).replace(" ", MARK)) for k, part in enumerate(t.split(MARK))] if t else [] for t in texts]
+        new = {c for own in parts for part in own for c in part}
+        if len(self.known) > REMEMBERED:
+            self.older, self.known = self.known, {}
+        new.difference_update(self.known)
+        for c in new.intersection(self.older):
+            self.known[c] = self.older[c]
+        new.difference_update(self.known)
+        short = sorted((c for c in new if len(c) <= SHORT), key=len)
+        now = dict(zip(short, self.segment(short))) if short else {}
+        now.update((c, self.viterbi(c)) for c in new if len(c) > SHORT)
+        packed = {c: struct.pack(f"<{len(ids)}i", *ids) for c, ids in now.items()}
+        self.known.update((c, packed[c]) for c in short)
+        known, long = self.known, {c: packed[c] for c in new if len(c) > SHORT}
+        if long:
+            known = {**self.known, **long}
+        return [self.mark.join([b"".join([known[c] for c in part]) for part in own]) for own in parts]
 
 
 def decode_ids(ids: list[int], written: list[bytes]) -> str:
@@ -140,19 +195,19 @@ def encode(docs: DataFrame, model: dict, text: str = "text", to: str = "ids") ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(shared.value)
         for batch in batches:
-            rows, lo, packed, sizes, held = batch.column(0), 0, [], [], 0
+            rows, lo, texts, held = batch.column(0), 0, [], 0
             for k, t in enumerate(batch.column(1), 1):
-                t = t.as_py()
-                packed.append(encoder.encode(t))
-                sizes.append(None if t is None else len(packed[-1]) // 4)
-                held += len(packed[-1])
-                if held > 1 << 23 or k == len(rows):
+                texts.append(t.as_py())
+                held += len(texts[-1] or "")
+                if held > TOGETHER or k == len(rows):
+                    packed = encoder.encode_many(texts)
+                    sizes = [None if t is None else len(p) // 4 for t, p in zip(texts, packed)]
                     ends = np.append(0, np.cumsum([n or 0 for n in sizes])).astype(np.int32)
                     mask = pa.array([n is None for n in sizes])
                     values = pa.array(np.frombuffer(b"".join(packed), "<i4"))
                     ids = pa.ListArray.from_arrays(pa.array(ends), values, mask=mask)
                     yield pa.RecordBatch.from_arrays([rows.slice(lo, k - lo), ids], names=["row", "ids"])
-                    lo, packed, sizes, held = k, [], [], 0
+                    lo, texts, held = k, [], 0
 
     return _mapped(docs, docs[text], run, to, "ids", T.ArrayType(T.IntegerType()))
 
