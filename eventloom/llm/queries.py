@@ -123,9 +123,9 @@ WITH w AS (
   SELECT item_id, least(10, len(words)) AS n, unnest(list_transform(range(greatest(len(words) - 9, 1)), lambda i: array_to_string(words[i + 1 : i + 10], ' '))) AS win FROM b WHERE len(words) > 0
 ), sizes AS (SELECT DISTINCT n FROM t
 ), g AS (
-  SELECT doc_id, n, unnest(range(greatest(len(words) - n + 1, 0))) AS at, unnest(list_transform(range(greatest(len(words) - n + 1, 0)), lambda i: array_to_string(words[i + 1 : i + n], ' '))) AS win FROM w, sizes
-), h AS (SELECT g.doc_id, g.at, g.n, t.item_id FROM g JOIN t USING (n, win)
-), hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(at, at + n)) AS p FROM (SELECT DISTINCT doc_id, at, n FROM h)) GROUP BY doc_id
+  SELECT doc_id, n, unnest(range(greatest(len(words) - n + 1, 0))) AS pos, unnest(list_transform(range(greatest(len(words) - n + 1, 0)), lambda i: array_to_string(words[i + 1 : i + n], ' '))) AS win FROM w, sizes
+), h AS (SELECT g.doc_id, g.pos, g.n, t.item_id FROM g JOIN t USING (n, win)
+), hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(pos, pos + n)) AS p FROM (SELECT DISTINCT doc_id, pos, n FROM h)) GROUP BY doc_id
 ), its AS (SELECT doc_id, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS items FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS i FROM h) GROUP BY doc_id
 )
 SELECT w.doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
