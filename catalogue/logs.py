@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalogue.xmlsql import E, EventSource, element, event_xml
+from eventloom.plans.health_log import KNOWN_ERRORS
 
 SERVER = "chr(92) || 'srv' || chr(92)"
 
@@ -43,12 +44,9 @@ ORDER_TS = (
     f"{two('o_orderkey % 24')} || ':' || {two('o_custkey % 60')} || ':00.250'"
 )
 
-# Error numbers with an abbreviated message of their own.
-KNOWN_ERROR_NUMBERS = [35202, 1480, 35206, 35201, 41050, 41051, 41052, 41053, 41054, 41055, 41048, 41049]
-
 ERROR_NUMBER = (
     "CASE event_id % 15 "
-    + " ".join(f"WHEN {i} THEN {n}" for i, n in enumerate(KNOWN_ERROR_NUMBERS))
+    + " ".join(f"WHEN {i} THEN {n}" for i, n in enumerate(KNOWN_ERRORS))
     + " WHEN 12 THEN event_id % 3000 WHEN 13 THEN user_id END"
 )
 

@@ -178,9 +178,12 @@ RING_RESOURCE_MONITOR = _ring(
         "timestamp": value(2, width=20),
         "NodeID": value(22, width=10),
         "memory_node_id": value(11, width=10),
-        **run(3, "MemoryUtilizationPct TotalPhysicalMemoryKB AvailPhysicalMemoryKB", width=20),
-        **run(6, "TotalPageFileKB AvailPageFileKB TotalVirtualAddressSpaceKB", width=20),
-        **run(9, "AvailVirtualAddressSpaceKB AvailExtndVirtualAddrSpaceKB", width=20),
+        **run(
+            3,
+            "MemoryUtilizationPct TotalPhysicalMemoryKB AvailPhysicalMemoryKB TotalPageFileKB AvailPageFileKB "
+            "TotalVirtualAddressSpaceKB AvailVirtualAddressSpaceKB AvailExtndVirtualAddrSpaceKB",
+            width=20,
+        ),
         **run(12, "TargetKB ReservedKB CommittedKB SharedCommittedKB AWE_KB Pages_KB", width=20),
         "NotificationType": type_name(18, 20),
         "NotificationValue": value(18, width=20),
@@ -205,8 +208,12 @@ RING_CONNECTIVITY = _ring(
         "ConnectivityRecordTypeDesc": text(1, 20),
         "Source": value(4, width=20),
         "SourceType": text(2, 20),
-        **run(5, "SessionID OSError SNIError SNIConsumerError SNIProvider State LocalPort RemotePort", width=10),
-        **run(13, "TDSInputBufferError TDSOutputBufferError TDSInputBufferBYtes TDSFlag", width=10),
+        **run(
+            5,
+            "SessionID OSError SNIError SNIConsumerError SNIProvider State LocalPort RemotePort "
+            "TDSInputBufferError TDSOutputBufferError TDSInputBufferBYtes TDSFlag",
+            width=10,
+        ),
         "TDSFlagDesc": text(3, 30),
         **run(17, "total_login_time_ms login_task_enqueued_ms network_writes_ms network_reads_ms", width=10),
         **run(21, "ssl_processing_ms sspi_processing_ms", width=10),
