@@ -6,17 +6,20 @@ Files written on the way go to the shared folder the session names.
 from __future__ import annotations
 
 from datetime import datetime, timedelta
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from catalogue import logs
 from catalogue.cluster_queries import RESOURCE, distinct_rows as oracle_rows
 from catalogue.health_queries import ERRORS, STATES, WAITS
-from catalogue.registry import register
+from catalogue.registry import ORACLES, register
 from catalogue.state import DerivedState, oracle as state_oracle
 from catalogue.state_queries import REDO
 from eventloom.operators import publish
 from eventloom.operators.shred import shred, sorted_out
+from eventloom.plans.health_log import all_reports
 from eventloom.plans.sessions import redo_requests
 from eventloom.sources.events import only_files, read_event_xml, read_events
 from eventloom.sources.tables import register as name_for_sql
@@ -168,6 +171,42 @@ def stored_tables(spark, sf_dir):
 
 register("reloaded_table", stored_tables, STATES)
 
+
+def saved_tables(sources, specs):
+    """Rows of every typed table of a log, all written from one parse of each record."""
+
+    def query(spark, sf_dir):
+        saved = save_tables(logs.log(spark, sf_dir, sources, broken=True), specs, shared_folder(spark))
+        counts = [df.agg(F.count("*").alias("records")).select(F.lit(name).alias("table_name"), "records") for name, df in saved.items()]
+        return reduce(DataFrame.unionByName, counts)
+
+    return query
+
+
+register(
+    "saved_tables",
+    saved_tables(logs.HEALTH_LOG, health_log.TABLES),
+    " UNION ALL ".join(f"SELECT '{spec.table}' AS table_name, count(*) AS records FROM {x.table}" for spec, x in zip(health_log.TABLES, logs.HEALTH_LOG)),
+)
+
+
+def guarded_reports(spark, sf_dir):
+    """Rows of each report whose events occur in a stored log."""
+    raw = save_raw(logs.log(spark, sf_dir, logs.HEALTH_LOG, broken=True), f"{shared_folder(spark)}/raw")
+    made = all_reports(raw, DerivedState(spark, sf_dir)["messages"], cut=True)
+    return reduce(DataFrame.unionByName, [df.agg(F.count("*").alias("records")).select(F.lit(n).alias("report"), "records") for n, df in made.items()])
+
+
+register(
+    "guarded_reports",
+    guarded_reports,
+    " UNION ALL ".join(
+        f"SELECT '{n}' AS report, count(*) AS records FROM ({ORACLES[n]})"
+        for n in "error_event_stats non_failover_ddl failover_ddl replica_manager_state_changes replica_states replica_state_changes "
+        "lease_expirations blocked_redo partner_sync_state failover_validation event_summary".split()
+    ),
+)
+
 # -------------------------------------------------------- every record accounted for
 
 

@@ -37,12 +37,20 @@ def one_line(col: Column, width: int = 1000) -> Column:
 def statement_slice(text: Column, start: Column, end: Column, width: int | None = None) -> Column:
     """The statement inside a batch, from two-byte offsets; `end` = -1 runs to the end.
 
-    Offsets count UTF-16 units; for texts of the basic plane that is one unit per character.
+    Offsets count UTF-16 units. A text of the basic plane is cut by characters; with supplementary
+    characters the units themselves are cut, and half of a pair at either edge is dropped.
     """
     first = whole(start, 2) + 1
     stop = F.when(end == -1, utf16_bytes(text)).otherwise(end)
-    count = whole(stop - start, 2) + 1
-    out = F.substr(text, first.cast("int"), F.greatest(count, F.lit(0)).cast("int"))
+    count = F.greatest(whole(stop - start, 2) + 1, F.lit(0))
+    plain = F.substr(text, first.cast("int"), count.cast("int"))
+    units = F.encode(text, "UTF-16BE")
+    from_unit = F.greatest(first, F.lit(1))
+    left = F.greatest(F.least(first + count, whole(utf16_bytes(text), 2) + 1) - from_unit, F.lit(0))
+    hexed = F.hex(F.substring(units, (2 * from_unit - 1).cast("int"), (2 * left).cast("int")))
+    halves = F.when(F.substring(hexed, 1, 4).rlike("^D[C-F]"), F.substring(hexed, 5, 1 << 30)).otherwise(hexed)
+    halves = F.when(F.right(halves, F.lit(4)).rlike("^D[89AB]"), F.left(halves, F.length(halves) - 4)).otherwise(halves)
+    out = F.when(F.length(text) * 2 == utf16_bytes(text), plain).otherwise(F.decode(F.unhex(halves), "UTF-16BE"))
     return F.left(out, F.lit(width)) if width else out
 
 

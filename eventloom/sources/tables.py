@@ -53,8 +53,15 @@ def save_parsed(raw: DataFrame, path: str, payload: dict[str, str] | None = None
 
 
 def save_tables(events: DataFrame, specs: Iterable[TableSpec], path: str, cut: bool = False) -> dict[str, DataFrame]:
-    """Write every typed table of a family under `path`."""
-    folder = path.rstrip("/")
+    """Write every typed table of a family under `path`.
+
+    Several tables share one parse: raw events are stored as a parsed layer first, in the folder
+    `parsed`, and the tables are shredded from its columns.
+    """
+    folder, specs = path.rstrip("/"), list(specs)
+    if len(specs) > 1 and "malformed" not in events.columns:
+        payload = {name: ddl for s in specs for name, ddl in s.payload.items()}
+        events = save_parsed(events, f"{folder}/parsed", payload)
     return {s.table: save(shred(events, s, cut), f"{folder}/{s.table}") for s in specs}
 
 
