@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventloom.llm import decontaminate, language, licenses, pieces, quality, secrets, simhash, token_files, topk, toxicity
+from eventloom.llm.oracles import licenses_sql, secrets_sql
 from eventloom.llm.storage import bucket_of, shared_folder
 
 END_ID = 2
@@ -144,4 +145,9 @@ QUERIES = {
     "op9_decontamination": op9_decontamination,
     "op10_pieces": op10_pieces,
 }
-ORACLES = {"op1_exact_top_k": TOP_K_SQL, "op9_decontamination": DECONTAMINATION_SQL}
+ORACLES = {
+    "op1_exact_top_k": TOP_K_SQL,
+    "op3_licenses": licenses_sql(),
+    "op4_secrets": secrets_sql(),
+    "op9_decontamination": DECONTAMINATION_SQL,
+}

@@ -20,7 +20,7 @@ KINDS = [
     ("assign", r"""(?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 1, 6),
     ("access", r"AKIA[A-Z0-9]+", 0, 20),
     ("hex", r"[0-9a-f]{24,}", 0, 24),  # a run of 24 or more is the whole run, as with a dropped shorter one
-    ("mixed", r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{32,}", 0, 32),
+    ("mixed", r"[A-Za-z0-9+/_-]{32,}", 0, 32),
 ]
 #: Kinds that are found by the pattern alone.
 SURE = 3
