@@ -23,7 +23,7 @@ from eventloom.plans.health_log import all_reports
 from eventloom.plans.sessions import redo_requests
 from eventloom.sources.events import only_files, read_event_xml, read_events
 from eventloom.sources.tables import register as name_for_sql
-from eventloom.sources.tables import save_parsed, save_raw, save_tables, shared_folder
+from eventloom.sources.tables import save, save_parsed, save_raw, save_tables, shared_folder
 from eventloom.streaming.capture import capture_waits
 from eventloom.streaming.ingest import append, append_table, distinct_rows, ring_rows
 from eventloom.streaming.replicate import collect_changes, compact, current_copy, untaken
@@ -354,8 +354,8 @@ def late_changes(spark, sf_dir):
     source = _source(spark, sf_dir)
     source = source.unionByName(source.where("user_id = 1").withColumn("user_id", F.lit(None).cast("long")))
     feed = _feed(spark, sf_dir)
-    feed = feed.unionByName(feed.where("user_id <= 3").withColumn("user_id", F.lit(None).cast("long")))
-    newest = feed.join(feed.agg(F.expr("(min(sequence) + max(sequence)) DIV 2 AS m")), F.col("sequence") > F.col("m")).drop("m")
+    feed = save(feed.unionByName(feed.where("user_id <= 3").withColumn("user_id", F.lit(None).cast("long"))), f"{base}/feed")
+    newest = spark.sql("SELECT * FROM {feed} WHERE sequence > (SELECT (min(sequence) + max(sequence)) DIV 2 FROM {feed})", feed=feed)
     folded = compact(source, newest, ["user_id"], f"{base}/folded")
     again = compact(folded, feed.unionByName(feed), ["user_id"], f"{base}/again")
     return current_copy(again, untaken(feed, again, ["user_id"]), ["user_id"])
