@@ -39,7 +39,7 @@ GAP_MAGIC, TABLE_MAGIC, FOOTER_MAGIC, VERSION = 0x184D2A50, 0x184D2A5E, 0x53454B
 GAP = struct.pack(HEAD, GAP_MAGIC, 0)
 NO_ID = -(2**63)
 #: Distinct words that each of a task's two generations of remembered ids holds.
-REMEMBERED = 150_000
+REMEMBERED = 120_000
 
 
 #: A full stop or comma between an ASCII letter and white space.
