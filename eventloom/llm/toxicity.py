@@ -48,12 +48,17 @@ def word_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int64()))], names=["kind", "words"])
 
 
+def places(features: np.ndarray, row: np.ndarray) -> np.ndarray:
+    """Where a row's features stand among the sorted `features`; others are left out."""
+    at = np.searchsorted(features, row)
+    return at[features[np.minimum(at, len(features) - 1)] == row] if len(features) else at[:0]
+
+
 class Sparse:
     """0/1 rows over few features."""
 
     def __init__(self, rows: list[np.ndarray], features: np.ndarray):
-        at = [np.searchsorted(features, r) for r in rows]
-        hits = [a[(a < len(features)) & (features[np.minimum(a, len(features) - 1)] == r)] if len(features) else a[:0] for a, r in zip(at, rows)]
+        hits = [places(features, r) for r in rows]
         self.row = np.repeat(np.arange(len(rows)), [len(h) for h in hits])
         self.col = np.concatenate(hits).astype(np.int64) if hits else np.empty(0, np.int64)
         self.n, self.m = len(rows), len(features)
@@ -75,10 +80,9 @@ def fit_rows(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: fl
         return np.empty(0, np.int64), np.empty(0), float(np.log(max(prior, 1e-6) / max(1 - prior, 1e-6)))
     words, count = np.unique(np.concatenate(positive), return_counts=True)
     words, count = words[count >= LEAST_POSITIVES], count[count >= LEAST_POSITIVES]
-    every = np.concatenate(unlabelled)
-    at = np.searchsorted(words, every)
-    at = at[(at < len(words)) & (words[np.minimum(at, len(words) - 1)] == every)] if len(words) else at[:0]
-    other = np.bincount(at, minlength=len(words))
+    other = np.zeros(len(words), np.int64)
+    for row in unlabelled:  # a row at a time: the driver holds the sample once
+        other[places(words, row)] += 1  # a row's features are distinct
     p, u = count / len(positive), (other + 1) / (len(unlabelled) + 2)
     deviation = (p - u) / np.sqrt(u * (1 - u) * (1 / len(positive) + 1 / len(unlabelled)))
     # of the unlabelled documents with the word, at most all are toxic: a word that means nothing has lift 1, one that decides 1 / prior
