@@ -100,9 +100,8 @@ class WordIds:
             self.older, self.known = self.known, {}
         known = self.known
         if new := set(words).difference(known):
-            for w in new.intersection(self.older):
-                known[w] = self.older[w]
-            new = list(new.difference(known))
+            known.update([(w, self.older[w]) for w in new if w in self.older])
+            new = [w for w in new if w not in known]
             for i in range(0, len(new), 4096):
                 known.update(zip(new[i : i + 4096], self.packed([w.decode("utf-8", "replace") for w in new[i : i + 4096]])))
         return b"".join([known[w] for w in words])
