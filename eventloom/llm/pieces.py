@@ -165,10 +165,9 @@ class Encoder:
         new = {c for own in parts for part in own for c in part}
         if len(self.known) > REMEMBERED:
             self.older, self.known = self.known, {}
-        new.difference_update(self.known)
-        for c in new.intersection(self.older):
-            self.known[c] = self.older[c]
-        new.difference_update(self.known)
+        new = new.difference(self.known)
+        self.known.update([(c, self.older[c]) for c in new if c in self.older])
+        new = new.difference(self.known)
         short = sorted((c for c in new if len(c) <= SHORT), key=len)
         now = dict(zip(short, self.segment(short))) if short else {}
         now.update((c, self.viterbi(c)) for c in new if len(c) > SHORT)
