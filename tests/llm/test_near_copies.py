@@ -1,0 +1,71 @@
+"""Near copies of the pipeline's stage against all pairs of texts."""
+
+import duckdb
+import numpy as np
+import pytest
+
+import corpus_pipeline as pipeline
+from eventloom.llm import near_copies, queries
+from tests.llm.test_operators import TEXTS, docs
+
+
+def brute_first(rows, size=5):
+    """Smallest ids of the groups that links of 0.8 or more join up, over every pair."""
+    sets = {}
+    for i, t in rows:
+        words = (t or "").encode().lower().split()
+        sets[i] = {tuple(words[j : j + size]) for j in range(max(1, len(words) - size + 1))}
+    ids, root = sorted(sets), {i: i for i in sets}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    holders = {}
+    for i in ids:
+        for s in sets[i]:
+            holders.setdefault(s, []).append(i)
+    for i in ids:
+        for j in {j for s in sets[i] for j in holders[s] if j < i}:
+            both = len(sets[i] & sets[j])
+            if 5 * both >= 4 * (len(sets[i]) + len(sets[j]) - both):
+                a, b = sorted((find(i), find(j)))
+                root[b] = a
+    return {find(i) for i in ids}
+
+
+def edited(words, places):
+    return " ".join("new" if i in places else w for i, w in enumerate(words))
+
+
+@pytest.mark.parametrize("chunk", [4, 2048])
+def test_near_copies(spark, chunk):
+    rng = np.random.default_rng(10)
+    rows = []
+    for g in range(40):  # groups of a text and its copies with up to eight edits, which lie on both sides of 0.8
+        words = [f"g{g}x{x}" for x in rng.integers(0, 5000, 150)]
+        rows += [(10_000 + g * 100 + n, edited(words, set(rng.integers(0, 150, n).tolist()))) for n in range(9)]
+    words = [f"c{i}" for i in range(300)]
+    rows += [(9000 + i, " ".join(words[i * 10 : i * 10 + 200])) for i in range(10)]  # a chain: neighbours alone are similar
+    rows += [(9100, "One two"), (9101, "one  TWO"), (9102, "one two three"), (9103, "\t")]
+    rows += [r for r in TEXTS if r[0] is not None]
+    kept = near_copies.one_of_each(docs(spark, *rows), chunk=chunk).collect()
+    assert sorted(r.doc_id for r in kept) == sorted(brute_first(rows)) and kept[0].row == "x"
+    assert near_copies.one_of_each(docs(spark)).count() == 0
+
+
+def test_similarity_at_the_bound():
+    own = np.arange(9, dtype=np.uint64)
+    index = near_copies._Index([own[:9], own[:8], own[1:9]])  # 9 of 9, 8 of 9; 8 of 10 with nine others
+    assert index.near(own, near_copies.LEAST).tolist() == [0, 1, 2]
+    assert index.near(np.arange(1, 10, dtype=np.uint64), near_copies.LEAST).tolist() == [0, 2]  # 8 of 10, 7 of 10, 8 of 9
+
+
+def test_stage_drops_edited_copies(spark):
+    """All near copies of the middle table, which fingerprints within three bits leave in."""
+    sf_dir = "/root/testdata/sf0.01"
+    table = queries.table(spark, sf_dir, "documents")
+    rows = duckdb.connect().sql(f"SELECT doc_id, text FROM '{sf_dir}/documents.parquet'").fetchall()
+    kept = dict(pipeline.STAGES)["near copies"](spark, table, sf_dir)
+    assert {r.doc_id for r in kept.collect()} == brute_first(rows)
