@@ -199,6 +199,13 @@ def _scanned(shared, first: bool):
     return run
 
 
+def automata(items: DataFrame, item_id: str = "item_id", item_text: str = "text", window: int = 10, part_words: int = PART_WORDS) -> list:
+    """The broadcast automata of all parts; one of nothing where there are no items."""
+    sc = items.sparkSession.sparkContext
+    found = items.select(F.coalesce(items[item_id].cast("string"), F.lit("")).alias("item"), items[item_text].alias("text"))
+    return [sc.broadcast(Automaton(part, window)) for part in parts(found, "item", "text", part_words)] or [sc.broadcast(Automaton([], window))]
+
+
 def find_items(docs: DataFrame, items: DataFrame, keep: list[str], text: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = 10, part_words: int = PART_WORDS) -> DataFrame:
     """The columns `keep` as a struct `row`, n_words, spans array<struct<lo, hi>> of words, items array<string>, `__text` binary.
 
@@ -206,17 +213,15 @@ def find_items(docs: DataFrame, items: DataFrame, keep: list[str], text: str = "
     count. With no items, or an empty table of documents, nothing is hit. Item ids are compared as
     text; a null id is taken as an empty one.
     """
-    sc = docs.sparkSession.sparkContext
+    return _found(docs, automata(items, item_id, item_text, window, part_words), keep, text)
+
+
+def _found(docs: DataFrame, shared: list, keep: list[str], text: str) -> DataFrame:
     out = docs.select(F.struct(*[docs[c] for c in keep]).alias("row"), docs[text].cast("binary").alias("__text"))
     schema = "n_words long, spans array<struct<lo: long, hi: long>>, items array<string>"
-    found = items.select(F.coalesce(items[item_id].cast("string"), F.lit("")).alias("item"), items[item_text].alias("text"))
-    n = 0
-    for n, part in enumerate(parts(found, "item", "text", part_words), 1):
-        shape = T.StructType([*out.select("row", "__text").schema.fields, *T._parse_datatype_string(schema).fields])
-        out = out.mapInArrow(_scanned(sc.broadcast(Automaton(part, window)), n == 1), shape)
-    if not n:
-        shape = T.StructType([*out.schema.fields, *T._parse_datatype_string(schema).fields])
-        out = out.mapInArrow(_scanned(sc.broadcast(Automaton([], window)), True), shape)
+    shape = T.StructType([*out.schema.fields, *T._parse_datatype_string(schema).fields])
+    for n, part in enumerate(shared):
+        out = out.mapInArrow(_scanned(part, n == 0), shape)
     return out
 
 
@@ -248,21 +253,35 @@ def cut_words(text: bytes, spans: list[tuple[int, int]]) -> bytes:
     return b"".join([*out, text[at:]])
 
 
+def cut_all(text: bytes, spans: list[tuple[int, int]], automata: list[Automaton], longest: int = 0) -> bytes:
+    """The text cut at the spans, and again at what the cuts have joined, until no longer span is hit."""
+    while spans:
+        text = cut_words(text, spans)
+        words = words_of(text)
+        hit = _merged([span for a in automata for span in a.scan(words)[0]])
+        spans = [(lo, hi) for lo, hi in hit if hi - lo > longest]
+    return text
+
+
 def decontaminate(docs: DataFrame, items: DataFrame, text: str = "text", window: int = 10, longest: int = 0, most: float = 0.5, **named) -> DataFrame:
     """`docs` with test items removed; same columns and types.
 
-    Spans of more than `longest` hit words are cut out of the text. A document whose hit words make
-    up more than the share `most` of its words is dropped. Other rows are returned as they are.
+    Spans of more than `longest` hit words are cut out of the text, also those that cuts make out of
+    what stood around them. A document whose hit words, before any cut, make up more than the share
+    `most` of its words is dropped. Other rows are returned as they are. The task that cuts holds the
+    automata of all parts.
     """
     schema = docs.schema
-    found = find_items(docs, items, docs.columns, text, window=window, **named)
+    shared = automata(items, window=window, **named)
+    found = _found(docs, shared, docs.columns, text)
     n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["hi"] - s["lo"])
     kept = found.where(n_hit <= most * F.col("n_words")).select("row", "__text", F.filter("spans", lambda s: s["hi"] - s["lo"] > longest).alias("spans"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             spans = batch.column(2).to_pylist()
-            new = [cut_words(t.as_py(), [(s["lo"], s["hi"]) for s in own]).decode("utf-8", "replace") if own else None for t, own in zip(batch.column(1), spans)]
+            every = [a.value for a in shared] if any(spans) else []
+            new = [cut_all(t.as_py(), [(s["lo"], s["hi"]) for s in own], every, longest).decode("utf-8", "replace") if own else None for t, own in zip(batch.column(1), spans)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(new, pa.string())], names=["row", "cut"])
 
     cut = kept.mapInArrow(run, T.StructType([kept.schema["row"], T.StructField("cut", T.StringType())]))
