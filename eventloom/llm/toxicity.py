@@ -86,7 +86,8 @@ def fit_rows(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: fl
     p, u = count / len(positive), (other + 1) / (len(unlabelled) + 2)
     deviation = (p - u) / np.sqrt(u * (1 - u) * (1 / len(positive) + 1 / len(unlabelled)))
     # of the unlabelled documents with the word, at most all are toxic: a word that means nothing has lift 1, one that decides 1 / prior
-    chosen = np.flatnonzero((deviation >= LEAST_DEVIATION) & (p / u >= 2))
+    lift = min(2, prior**-0.5)  # half way there, and 2 up to a prior of a quarter
+    chosen = np.flatnonzero((deviation >= LEAST_DEVIATION) & (p / u >= lift))
     chosen = np.sort(chosen[np.argsort(-deviation[chosen], kind="stable")[:MOST_FEATURES]])
     features = words[chosen]
     xp, xu = Sparse(positive, features), Sparse(unlabelled, features)

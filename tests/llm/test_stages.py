@@ -1,9 +1,10 @@
 """What stages of the pipeline owe beyond their operators' own tests."""
 
+import numpy as np
 import pytest
 
 import corpus_pipeline as pipeline
-from eventloom.llm import decontaminate, queries
+from eventloom.llm import decontaminate, queries, toxicity
 from tests.llm.test_operators import brute_items, docs
 
 
@@ -27,3 +28,20 @@ def test_stage_leaves_no_hit(spark, sf_dir):
     left = dict(pipeline.STAGES)["decontamination"](spark, table, sf_dir)
     again = decontaminate.summary(decontaminate.find_items(left, queries.table(spark, sf_dir, "benchmark"), ["doc_id"]))
     assert left.count() > 0 and again.where("contaminated").count() == 0
+
+
+@pytest.mark.parametrize("prior", [0.5, 0.6, 0.8])
+def test_mostly_toxic(prior):
+    rng = np.random.default_rng(11)
+
+    def row(toxic):
+        words = set(rng.integers(0, 3000, 60).tolist())
+        return np.array(sorted(words | (set((5000 + rng.integers(0, 4, 6)).tolist()) if toxic else set())))
+
+    positive = [row(True) for _ in range(400)]
+    mixed = [row(rng.random() < prior) for _ in range(1200)]
+    features, w, bias = toxicity.fit_rows(positive, mixed, prior)
+    weights = dict(zip(features.tolist(), w))
+    score = lambda r: toxicity.sigmoid(bias + sum(weights.get(x, 0) for x in r.tolist()))
+    assert np.mean([score(row(True)) >= queries.TOXIC for _ in range(200)]) > 0.9
+    assert np.mean([score(row(False)) < queries.TOXIC for _ in range(200)]) > 0.9
