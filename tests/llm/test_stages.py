@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline as pipeline
 from eventloom.llm import decontaminate, queries, toxicity
@@ -45,3 +46,12 @@ def test_mostly_toxic(prior):
     score = lambda r: toxicity.sigmoid(bias + sum(weights.get(x, 0) for x in r.tolist()))
     assert np.mean([score(row(True)) >= queries.TOXIC for _ in range(200)]) > 0.9
     assert np.mean([score(row(False)) < queries.TOXIC for _ in range(200)]) > 0.9
+
+
+def test_stages_keep_every_column(spark, sf_dir):
+    table = queries.table(spark, sf_dir, "documents").withColumn("more", F.col("doc_id") * 2)
+    shape = table.dtypes
+    for name, stage in pipeline.STAGES[:-1]:
+        out = stage(spark, table, sf_dir)
+        assert out.dtypes == shape, name
+        assert out.where("more = doc_id * 2").count() == out.count() > 0
