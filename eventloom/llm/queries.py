@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.llm import decontaminate, language, licenses, pieces, quality, secrets, simhash, token_files, topk, toxicity
-from eventloom.llm.oracles import licenses_sql, secrets_sql
+from eventloom.llm import ann, decontaminate, importance, language, licenses, pieces, quality, secrets, simhash, spelling, token_files, topk, toxicity
+from eventloom.llm.oracles import importance_sql, licenses_sql, secrets_sql, spelling_sql
 from eventloom.llm.storage import bucket_of, shared_folder
 
 END_ID = 2
@@ -102,6 +102,19 @@ def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), F.xxhash64("ids").alias("ids_hash"), F.length("decoded").cast("long").alias("n_decoded"), F.col("decoded").eqNullSafe(F.col("text")).alias("returned"))
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = importance.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op13_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(ann.clean(table(spark, sf_dir, "embeddings")), F.col("vec_id") % 100 == 0, k=10)
+
+
 TOP_K_SQL = """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
@@ -144,10 +157,15 @@ QUERIES = {
     "op8_language": op8_language,
     "op9_decontamination": op9_decontamination,
     "op10_pieces": op10_pieces,
+    "op11_spelling": op11_spelling,
+    "op12_importance": op12_importance,
+    "op13_nearest": op13_nearest,
 }
 ORACLES = {
     "op1_exact_top_k": TOP_K_SQL,
     "op3_licenses": licenses_sql(),
     "op4_secrets": secrets_sql(),
     "op9_decontamination": DECONTAMINATION_SQL,
+    "op11_spelling": spelling_sql(),
+    "op12_importance": importance_sql(),
 }
