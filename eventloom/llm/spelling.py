@@ -4,11 +4,13 @@ A word's bigrams are ordered from rare to common over the vocabulary. Its prefix
 in this order, with all that tie with the third: one edit touches two bigrams at most. Among any
 three are two disjoint ones, and one edit touches only one of them: the pivots, the disjoint pair of
 the smallest total frequency, found by dynamic programming. Of two words one edit apart, the one whose
-prefix ends earlier has a pivot in the other's prefix; one edit says where: at the same place, or one
-on in a word that is one longer, one back in one that is one shorter.
+prefix ends earlier has its surviving pivots in the other's prefix.
 
-So pivots are joined with prefixes on (bigram, place, length), and what meets is verified by edit
-distance. The join finds every pair; rare pivots keep what it meets small, AQE splits a hot bigram.
+So pivots are joined with prefixes, and what meets is verified by edit distance. The edit is behind the
+first pivot's bigram, or else before the second one's. In either case the place of the pivot in the
+other word is known, and so is the half of the longer stretch beside it that the edit leaves alone: the
+join asks for the pivot at its place with all text that is known to be shared, for the edit in either
+half. It finds every pair, and meets few others.
 """
 
 from __future__ import annotations
@@ -28,10 +30,12 @@ LETTERS = "A-Za-zÀ-ÿ"
 #: Edits, and the bigrams of a prefix: one edit touches two.
 EDITS, GRAM = 1, 2
 PREFIX = GRAM * EDITS + 1
+#: Of the hash of a run of code points. A collision is one more pair to compare.
+BASE, PRIME, POWERS = 1_099_511_628_211, (1 << 61) - 1, [1]
+#: Code points of a word that its keys carry.
+INLINE = 64
 #: Distinct words whose counts a task holds before it hands them on.
 HELD = 200_000
-#: (length, place) of a surviving pivot in a word one edit away, relative to its own.
-SHIFTS = [(0, 0), (1, 0), (1, 1), (-1, 0), (-1, -1)]
 
 
 def words_of(doc_id, text: str | None, least: int, modulus: int) -> Counter:
@@ -108,11 +112,48 @@ def signature(word: str, order: dict[str, tuple[int, int]]) -> tuple[int, list[t
     return last, [(grams[i][0], i) for i in prefix], [(grams[i][0], i) for i in chosen]
 
 
-_GRAMS = pa.list_(pa.struct([("gram", pa.int32()), ("place", pa.int32())]))
+class Parts:
+    """Hashes of the runs of a word's code points, each from two prefix hashes."""
+
+    def __init__(self, word: str):
+        self.size = len(word)
+        self.upto = [0]
+        for c in map(ord, word):
+            self.upto.append((self.upto[-1] * BASE + c + 1) % PRIME)
+        while len(POWERS) <= self.size:
+            POWERS.append(POWERS[-1] * BASE % PRIME)
+
+    def key(self, way: int, size: int, *runs: tuple[int, int]) -> int:
+        """A number for a way of sharing text, the other word's size and the shared runs [lo, hi)."""
+        h = way * 1_000_003 + size
+        for lo, hi in runs:
+            h = (h * BASE + (self.upto[hi] - self.upto[lo] * POWERS[hi - lo]) % PRIME + 7) * BASE % PRIME
+        return h
+
+
+def offered(parts: Parts, places: Sequence[int]) -> set[int]:
+    """Keys of prefix bigrams at `places`: what a word with that pivot shares with this one if the edit is in the first or
+    second half of what stands behind it, or in the first or second half of what stands before it."""
+    n, out = parts.size, set()
+    for q in places:
+        behind, before = q + GRAM + (n - q - GRAM) // 2, q // 2
+        out |= {parts.key(0, n, (0, q + GRAM), (behind, n)), parts.key(1, n, (0, behind)), parts.key(2, n, (before, n)), parts.key(3, n, (0, before), (q, n))}
+    return out
+
+
+def asked(parts: Parts, first: int, second: int) -> set[int]:
+    """Keys of the pivots at two places, for words one shorter, as long, and one longer: an edit behind the first one's
+    bigram, in either half, or before the second one, in either half."""
+    n, out = parts.size, set()
+    for more in (-1, 0, 1):
+        m = n + more
+        behind, before = first + GRAM + (m - first - GRAM) // 2, (second + more) // 2
+        out |= {parts.key(0, m, (0, first + GRAM), (behind - more, n)), parts.key(1, m, (0, behind)), parts.key(2, m, (before - more, n)), parts.key(3, m, (0, before), (second, n))}
+    return out
 
 
 def signatures(words: DataFrame) -> DataFrame:
-    """words(word, n) with size, last, prefix and pivots.
+    """words(id, word, n) with last, offered and asked; `word` is null where it has more than INLINE code points.
 
     The bigrams' order is broadcast: LETTERS has 90 after lower-casing, so there are 8,100 at most.
     """
@@ -124,34 +165,35 @@ def signatures(words: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
         for batch in batches:
-            own = batch.column(0).to_pylist()
-            signed = [signature(w, known) for w in own]
-            named = lambda at: pa.array([[{"gram": g, "place": p} for g, p in s[at]] for s in signed], _GRAMS)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array([len(w) for w in own], pa.int32()), pa.array([s[0] for s in signed], pa.int32()), named(1), named(2)],
-                names=["word", "n", "size", "last", "prefix", "pivots"],
-            )
+            for lo in range(0, batch.num_rows, 1000):
+                some = batch.slice(lo, 1000)
+                own, last, keys = some.column(1).to_pylist(), [], ([], [])
+                for w in own:
+                    rank, prefix, chosen = signature(w, known)
+                    parts = Parts(w)
+                    last.append(rank)
+                    keys[0].append(list(offered(parts, [p for _, p in prefix])))
+                    keys[1].append(list(asked(parts, chosen[0][1], chosen[1][1])))
+                short = pa.array([w if len(w) <= INLINE else None for w in own], pa.string())
+                yield pa.RecordBatch.from_arrays([some.column(0), short, some.column(2), pa.array(last, pa.int32()), *(pa.array(k, pa.list_(pa.int64())) for k in keys)], names=["id", "word", "n", "last", "offered", "asked"])
 
-    grams = "array<struct<gram:int,place:int>>"
-    return words.select("word", "n").mapInArrow(run, f"word string, n long, size int, last int, prefix {grams}, pivots {grams}")
+    return words.select("id", "word", "n").mapInArrow(run, "id long, word string, n long, last int, offered array<long>, asked array<long>")
 
 
 def near_words(words: DataFrame) -> DataFrame:
     """(a, b, n_a, n_b), both ways round, for all pairs of `words(word, n)` exactly one edit apart.
 
-    Words are distinct and have PREFIX bigrams or more.
+    Words are distinct and have PREFIX bigrams or more. Keys carry short words, which are compared
+    where they meet; pairs of long ones are compared when their texts have been joined.
     """
+    words = stored(words.withColumn("id", F.monotonically_increasing_id()), "numbered")
     signed = stored(signatures(words), "signatures")
-    shifts = F.array(*[F.struct(F.lit(s).alias("size"), F.lit(p).alias("place")) for s, p in SHIFTS])
-    asked = signed.select("word", "n", "size", "last", F.explode("pivots").alias("pivot")).select("*", F.explode(shifts).alias("shift"))
-    asked = asked.select(
-        F.col("pivot.gram").alias("gram"), (F.col("pivot.place") + F.col("shift.place")).alias("place"), (F.col("size") + F.col("shift.size")).alias("size"),
-        F.col("word").alias("a"), F.col("n").alias("n_a"), F.col("last").alias("last_a"),
-    )
-    index = signed.select("word", "n", "size", "last", F.explode("prefix").alias("own"))
-    index = index.select(F.col("own.gram").alias("gram"), F.col("own.place").alias("place"), "size", F.col("word").alias("b"), F.col("n").alias("n_b"), F.col("last").alias("last_b"))
-    met = asked.join(index, ["gram", "place", "size"]).where((F.col("last_a") <= F.col("last_b")) & (F.col("a") != F.col("b")))
-    near = met.where(F.levenshtein("a", "b", EDITS) == 1).select("a", "b", "n_a", "n_b")
+    side = lambda keys, x: signed.select(F.explode(keys).alias("key"), *[F.col(c).alias(f"{c}_{x}") for c in ("id", "word", "n", "last")])
+    met = side("asked", "a").join(side("offered", "b"), "key").where((F.col("last_a") <= F.col("last_b")) & (F.col("id_a") != F.col("id_b")))
+    apart = F.levenshtein("word_a", "word_b", EDITS)
+    met = stored(met.where(F.coalesce(apart == 1, F.lit(True))).select("id_a", "id_b", apart.isNull().alias("open")).distinct(), "met")
+    text = lambda x: words.select(F.col("id").alias(f"id_{x}"), F.col("word").alias(x), F.col("n").alias(f"n_{x}"))
+    near = met.join(text("a"), "id_a").join(text("b"), "id_b").where(~F.col("open") | (F.levenshtein("a", "b", EDITS) == 1)).select("a", "b", "n_a", "n_b")
     return near.union(near.select(F.col("b").alias("a"), F.col("a").alias("b"), F.col("n_b").alias("n_a"), F.col("n_a").alias("n_b"))).distinct()
 
 
