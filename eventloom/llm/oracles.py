@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from eventloom.llm.licenses import PHRASES, TEMPLATES, LOWER, UPPER
-from eventloom.llm.secrets import COPIED, KINDS, SURE
+from eventloom.llm.secrets import COPIED, KINDS, SPREAD, SURE
 
 WORDS = rf"regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
@@ -11,7 +11,7 @@ WORDS = rf"regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'
 def secrets_sql() -> str:
     quoted = lambda p: "'" + p.replace("'", "''") + "'"
     found = " UNION ALL ".join(
-        f"SELECT doc_id, source, {i} AS kind, '{name}' AS name, {least} AS least, regexp_extract_all(t, {quoted(p)}) AS own, "
+        f"SELECT doc_id, source, t, {i} AS kind, '{name}' AS name, {least} AS least, regexp_extract_all(t, {quoted(p)}) AS own, "
         f"string_split_regex(t, {quoted(p)}) AS gap, regexp_extract_all(t, {quoted(p)}, {group}) AS vals FROM d"
         for i, (name, p, group, least) in enumerate(KINDS)
     )
@@ -19,24 +19,26 @@ def secrets_sql() -> str:
 WITH d AS (SELECT doc_id, source, coalesce(text, '') AS t FROM documents),
 found AS ({found}),
 placed AS (
-  SELECT doc_id, source, kind, name, least, vals[i] AS val, length(own[i]) AS n,
+  SELECT doc_id, source, t, kind, name, least, vals[i] AS val, length(own[i]) AS n,
     list_sum(list_transform(gap[1:i], lambda g: length(g))) + coalesce(list_sum(list_transform(own[1:i - 1], lambda g: length(g))), 0) AS lo
   FROM (SELECT *, unnest(range(1, len(own) + 1)) AS i FROM found)
 ),
 spans AS (
-  SELECT doc_id, source, kind, val, lo, name || ':' || lo || ':' || (lo + n) AS span FROM placed
+  SELECT doc_id, source, t, kind, val, lo, name || ':' || lo || ':' || (lo + n) AS span FROM placed
   WHERE length(val) >= least AND (kind < {SURE} OR (regexp_matches(val, '[0-9]') AND regexp_matches(val, '[A-Z]') AND regexp_matches(val, '[a-z]')))
 ),
-owners AS (SELECT val, count(DISTINCT source) < {COPIED} AS live FROM spans GROUP BY val),
-kept AS (SELECT doc_id, kind, lo, span, live FROM spans JOIN owners USING (val)),
+texts AS (SELECT val, t, min(struct_pack(repository := CAST(doc_id AS VARCHAR), owner := source)) AS f FROM spans GROUP BY val, t),
+counted AS (SELECT val, count(DISTINCT f) AS n_repositories, count(DISTINCT f.owner) AS n_owners FROM texts GROUP BY val),
+owners AS (SELECT *, NOT (n_owners >= {COPIED} OR (n_owners > 1 AND n_repositories >= {SPREAD})) AS live FROM counted),
+kept AS (SELECT doc_id, kind, lo, span, live, n_repositories, n_owners FROM spans JOIN owners USING (val) WHERE kind < {SURE} OR live),
 summed AS (
   SELECT doc_id, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access, count(*) FILTER (kind = 2) AS n_hex,
     string_agg(span, ',' ORDER BY lo, kind) FILTER (kind < {SURE}) AS base, string_agg(span, ',' ORDER BY lo, kind) FILTER (kind < {SURE} OR live) AS spans,
-    count(*) FILTER (live) AS n_live, count(*) FILTER (kind < {SURE} AND NOT live) AS n_copied
+    count(*) FILTER (live) AS n_live, count(*) FILTER (NOT live) AS n_copied, max(n_repositories) AS n_repositories, max(n_owners) AS n_owners
   FROM kept GROUP BY doc_id
 )
 SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256,
-  coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live, coalesce(n_copied, 0) AS n_copied
+  coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live, coalesce(n_copied, 0) AS n_copied, coalesce(n_repositories, 0) AS n_repositories, coalesce(n_owners, 0) AS n_owners
 FROM d LEFT JOIN summed USING (doc_id)"""
 
 

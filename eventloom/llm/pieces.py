@@ -173,10 +173,10 @@ class Encoder:
         now.update((c, self.viterbi(c)) for c in new if len(c) > SHORT)
         packed = {c: struct.pack(f"<{len(ids)}i", *ids) for c, ids in now.items()}
         self.known.update((c, packed[c]) for c in short)
-        known, long = self.known, {c: packed[c] for c in new if len(c) > SHORT}
-        if long:
-            known = {**self.known, **long}
-        return [self.mark.join([b"".join([known[c] for c in part]) for part in own]) for own in parts]
+        own_ids = self.known.__getitem__
+        if any(len(c) > SHORT for c in new):  # long chunks are not remembered
+            own_ids = lambda c: self.known.get(c) or packed[c]
+        return [self.mark.join([b"".join(map(own_ids, part)) for part in own]) for own in parts]
 
 
 def decode_ids(ids: list[int], written: list[bytes]) -> str:
@@ -184,6 +184,39 @@ def decode_ids(ids: list[int], written: list[bytes]) -> str:
     return b"".join([written[i] for i in ids]).decode("utf-8", "replace")[1:]
 
 
+class Decoder:
+    def __init__(self, written: list[bytes]):
+        self.written = written
+        self.sizes = np.fromiter(map(len, written), np.int64, len(written))
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.bytes = np.frombuffer(b"".join(written), np.uint8)
+
+    def decode_many(self, ids: np.ndarray, ends: np.ndarray) -> list[str]:
+        """`decode_ids` of lists that stand in a row in `ids`, each up to its place of `ends`.
+
+        The pieces of all of them are copied at once.
+        """
+        size, upto = self.sizes[ids], np.cumsum(self.sizes[ids])
+        place = np.arange(int(upto[-1]) if len(upto) else 0) + np.repeat(self.starts[ids] - upto + size, size)
+        whole = self.bytes[place].tobytes()
+        cuts = np.append(0, upto)[ends].tolist()
+        return [whole[lo:hi].decode("utf-8", "replace")[1:] for lo, hi in zip([0, *cuts[:-1]], cuts)]
+
+
+def _encoded(encoder: Encoder, batch: pa.RecordBatch) -> Iterator[tuple[pa.Array, list[str | None], pa.ListArray]]:
+    """Rows, texts and ids of (row, text), TOGETHER characters at a time."""
+    rows, lo, texts, held = batch.column(0), 0, [], 0
+    for k, t in enumerate(batch.column(1), 1):
+        texts.append(t.as_py())
+        held += len(texts[-1] or "")
+        if held > TOGETHER or k == len(rows):
+            packed = encoder.encode_many(texts)
+            ends = np.append(0, np.cumsum([len(p) // 4 for p in packed])).astype(np.int32)
+            values = pa.array(np.frombuffer(b"".join(packed), "<i4"))
+            yield rows.slice(lo, k - lo), texts, pa.ListArray.from_arrays(pa.array(ends), values, mask=pa.array([t is None for t in texts]))
+            lo, texts, held = k, [], 0
+
+
 def encode(docs: DataFrame, model: dict, text: str = "text", to: str = "ids") -> DataFrame:
     """`docs` and the column `to`, array<int>: the ids of each whole text.
 
@@ -194,19 +227,8 @@ def encode(docs: DataFrame, model: dict, text: str = "text", to: str = "ids") ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(shared.value)
         for batch in batches:
-            rows, lo, texts, held = batch.column(0), 0, [], 0
-            for k, t in enumerate(batch.column(1), 1):
-                texts.append(t.as_py())
-                held += len(texts[-1] or "")
-                if held > TOGETHER or k == len(rows):
-                    packed = encoder.encode_many(texts)
-                    sizes = [None if t is None else len(p) // 4 for t, p in zip(texts, packed)]
-                    ends = np.append(0, np.cumsum([n or 0 for n in sizes])).astype(np.int32)
-                    mask = pa.array([n is None for n in sizes])
-                    values = pa.array(np.frombuffer(b"".join(packed), "<i4"))
-                    ids = pa.ListArray.from_arrays(pa.array(ends), values, mask=mask)
-                    yield pa.RecordBatch.from_arrays([rows.slice(lo, k - lo), ids], names=["row", "ids"])
-                    lo, texts, held = k, [], 0
+            for rows, _, ids in _encoded(encoder, batch):
+                yield pa.RecordBatch.from_arrays([rows, ids], names=["row", "ids"])
 
     return _mapped(docs, docs[text], run, to, "ids", T.ArrayType(T.IntegerType()))
 
@@ -229,6 +251,28 @@ def decode(docs: DataFrame, model: dict, ids: str = "ids", to: str = "decoded")
     return _mapped(docs, docs[ids], run, to, "text", T.StringType())
 
 
+def round_trips(docs: DataFrame, model: dict, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, ids array<int>, n_decoded long and returned boolean: `encode` and `decode` of each whole text in one pass.
+
+    n_decoded is the length of the text that the ids decode to, returned whether it is the text
+    itself. A null text has null ids, decodes to null, and counts as returned. The texts themselves
+    do not leave the task.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, decoder = Encoder(shared.value), Decoder(shared.value["written"])
+        for batch in batches:
+            for rows, texts, ids in _encoded(encoder, batch):
+                decoded = decoder.decode_many(ids.values.to_numpy(), ids.offsets.to_numpy()[1:])
+                size = pa.array([None if t is None else len(d) for t, d in zip(texts, decoded)], pa.int64())
+                same = pa.array([t is None or t == d for t, d in zip(texts, decoded)])
+                yield pa.RecordBatch.from_arrays([rows, ids, size, same], names=["doc_id", "ids", "n_decoded", "returned"])
+
+    source = docs.select(docs[doc_id].alias("doc_id"), docs[text].alias("text"))
+    return source.mapInArrow(run, T.StructType([source.schema["doc_id"], *T._parse_datatype_string("ids array<int>, n_decoded long, returned boolean").fields]))
+
+
 def _mapped(docs: DataFrame, source, run, to: str, made: str, kind: T.DataType) -> DataFrame:
     rows = docs.select(F.struct(*[docs[c] for c in docs.columns if c != to] or [F.lit(1)]).alias("row"), source.alias("source"))
     out = rows.mapInArrow(run, T.StructType([rows.schema["row"], T.StructField(made, kind)]))

@@ -96,10 +96,8 @@ def piece_model() -> dict:
 
 def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every text and what they decode to: n_pieces, a hash of the ids, and whether the text comes back."""
-    model = piece_model()
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    back = pieces.decode(pieces.encode(docs, model), model)
-    return back.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), F.xxhash64("ids").alias("ids_hash"), F.length("decoded").cast("long").alias("n_decoded"), F.col("decoded").eqNullSafe(F.col("text")).alias("returned"))
+    back = pieces.round_trips(table(spark, sf_dir, "documents"), piece_model())
+    return back.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), F.xxhash64("ids").alias("ids_hash"), "n_decoded", "returned")
 
 
 def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventloom.llm.components import connected
-from eventloom.llm.storage import row_key, stored
+from eventloom.llm.storage import row_key, stored, whole_row
 
 SEED = 42
 QUARTERS, WIDTH = 4, 16
@@ -185,9 +185,9 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shi
     keep = [docs[doc_id].cast("long").alias("doc_id"), row_key(doc_id, text).alias("key")]
     prints = stored(fingerprints(docs, keep, text, shingle), "fingerprints")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("first")
-    kept = prints.join(groups(prints, radius), "fp").groupBy("label").agg(first).select(F.col("first.key").alias("__key"))
-    rows = docs.withColumn("__key", row_key(doc_id, text)).join(kept, "__key", "left_semi")
-    return rows.dropDuplicates(["__key"]).drop("__key")
+    kept = prints.join(groups(prints, radius), "fp").groupBy("label").agg(first).select("first.key")
+    rows = docs.select(whole_row(docs).alias("row"), row_key(doc_id, text).alias("key")).join(kept, "key", "left_semi")
+    return rows.dropDuplicates(["key"]).select("row.*")
 
 
 def as_hex(fp: str = "fp"):

@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 def shared_folder(spark: SparkSession, what: str) -> str:
     """A new folder name under the shared one."""
     top = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    if not spark.conf.get("spark.checkpoint.dir", None) and top.startswith("file:") and not spark.conf.get("spark.master", "local").startswith("local"):
+        raise ValueError("spark.checkpoint.dir is unset and the warehouse is a folder of this machine: name a shared folder")
     return f"{top.rstrip('/')}/llm-{what}-{uuid.uuid4().hex}"
 
 
@@ -36,6 +38,11 @@ def bucket_of(doc_id: str, modulus: int) -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % modulus, F.lit(-1)).cast("int")
 
 
+def whole_row(df: DataFrame) -> Column:
+    """Every column of `df` in one struct, where no name can clash with a working column."""
+    return F.struct(*[df[f"`{c}`"] for c in df.columns])
+
+
 def only(df: DataFrame, *names: str) -> DataFrame:
     """The named columns alone, so that columns with other meanings cannot clash with working columns."""
     return df.select(*[df[n] for n in names])

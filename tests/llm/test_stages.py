@@ -1,11 +1,14 @@
 """What stages of the pipeline owe beyond their operators' own tests."""
 
+import time
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline as pipeline
-from eventloom.llm import decontaminate, queries, toxicity
+from eventloom.llm import decontaminate, queries, secrets, simhash, toxicity
+from eventloom.llm.storage import row_key
 from tests.llm.test_operators import brute_items, docs
 
 
@@ -55,3 +58,71 @@ def test_stages_keep_every_column(spark, sf_dir):
         out = stage(spark, table, sf_dir)
         assert out.dtypes == shape, name
         assert out.where("more = doc_id * 2").count() == out.count() > 0
+
+
+CLASHING = "doc_id long, text string, source string, row int, key int, cuts int, `__key` int, `__live` int, `__spans` int, `a.b` int"
+
+
+def clashing(spark, rows):
+    return spark.createDataFrame([(i, t, s, *range(7)) for i, t, s in rows], CLASHING)
+
+
+def test_one_of_each_keeps_columns_of_any_name(spark):
+    table = clashing(spark, [(3, "a b c", "s"), (1, "a b c", "s"), (1, "a b c", "s"), (2, None, "s"), (None, "x y", "s")])
+    kept = simhash.one_of_each(table)
+    assert kept.columns == table.columns
+    assert sorted(((r.doc_id, r["__key"], r["a.b"]) for r in kept.collect()), key=str) == [(1, 3, 6), (2, 3, 6), (None, 3, 6)]
+
+
+@pytest.mark.parametrize("block", [16, 4096])
+def test_redacted_texts(spark, monkeypatch, block):
+    """Spans of every kind, alone, side by side and overlapping, in texts of many blocks and of all kinds of characters."""
+    monkeypatch.setattr(secrets, "BLOCK", block)
+    rng = np.random.default_rng(3)
+    parts = ["é😀 ", "plain words ", "\n", "password: 'abc{0}def' ", "AKIA{0}ABCDEFGHIJKLMNOP{0} ", "deadbeef{0}deadbeefdeadbeefdeadbeef ", "token={1:032x}", "token=AKIA{0}ABCDEFGHIJKLMNOPQ", "A1b2C3d4E5f6G7h8I9j0K1l2M3n4O5p6{0}"]
+    texts = ["".join(parts[j].format(n, n * 7919 + i) for i, j in enumerate(rng.integers(0, len(parts), 40))) for n in range(60)]
+    texts += ["", "😀" * 5000 + "secret=abcdef" + "é" * 5000]
+    rows = [(i, t, f"s{i}") for i, t in enumerate(texts)] + [(900, None, "s")]
+    table = clashing(spark, rows)
+    out = secrets.redact(table)
+    assert out.columns == table.columns
+    got = {r.doc_id: r for r in out.collect()}
+    assert all((r["__key"], r["__live"], r["a.b"]) == (3, 4, 6) for r in got.values()) and got[900].text is None
+    live = {}
+    for r in secrets.judged(secrets.matches(table.withColumn("id", F.lit(1)), "doc_id", "text", "doc_id", "source")).where("live").join(
+        table.select("doc_id", row_key("doc_id", "text").alias("key")), "key"
+    ).collect():
+        live.setdefault(r.doc_id, []).append((r.lo, r.hi))
+    changed = 0
+    for i, t, _ in rows[:-1]:
+        out, at = [], 0
+        for lo, hi in sorted(live.get(i, [])):
+            if lo >= at:
+                out += [t[at:lo], "[secret]"]
+            at = max(at, hi)
+        assert got[i].text == "".join([*out, t[at:]]), i
+        changed += got[i].text != t
+    assert changed > 50
+
+
+def test_ownership_of_secrets(spark):
+    """Many owners, or two in many repositories, make an example; one owner never does; a shared text counts once."""
+    def rows(value, n, owners, text="{0} password={1}"):
+        return [(1000 * len(value) + i, text.format(i, value), f"{value}{i % owners}") for i in range(n)]
+
+    table = docs(spark, *rows("aaaaaa", 50, 1), *rows("bbbbbbb", 2, 2), *rows("cccccccc", 30, 2), *rows("ddddddddd", 3, 3), *rows("eeeeeeeeee", 9, 9, "same password={1}"))
+    got = {r.doc_id // 1000: r for r in secrets.find_secrets(table).collect()}
+    assert {k: (r.n_live, r.n_copied, r.n_repositories, r.n_owners) for k, r in got.items()} == {
+        6: (1, 0, 50, 1), 7: (1, 0, 2, 2), 8: (0, 1, 30, 2), 9: (0, 1, 3, 3), 10: (1, 0, 1, 1)
+    }
+
+
+def test_time_of_many_secrets(spark):
+    """A text with four times the matches takes no more than some eight times as long: no part is quadratic."""
+    times = []
+    for n in (10_000, 40_000):
+        table = docs(spark, (1, " ".join(f"{i:032x}" for i in range(n)), "s")).select("doc_id", "text", "source")
+        start = time.time()
+        assert secrets.redact(table).first().text == " ".join(["[secret]"] * n)
+        times.append(time.time() - start)
+    assert times[1] < 8 * times[0] + 5, times
