@@ -1,7 +1,7 @@
 """A corpus pipeline over documents: each stage works on all its predecessor kept.
 
     toxicity          rejected documents go
-    near copies       of documents whose five-word shingles are 0.8 similar or more, one stays
+    near copies       of documents whose SimHash fingerprints are linked, one stays
     decontamination   benchmark passages are cut out; documents that are mostly benchmark go
     secrets           live-looking secrets are replaced in the texts
     pieces            the ids of every text and what they decode to
@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.llm import decontaminate, near_copies, pieces, secrets, toxicity
+from eventloom.llm import decontaminate, pieces, secrets, simhash, toxicity
 from eventloom.llm.queries import TOXIC, learnable, piece_model, table
 from eventloom.llm.storage import shared_folder
 
@@ -26,8 +26,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
-    return near_copies.one_of_each(docs)
+    """One document of each group of near copies: fingerprints of three-word shingles, three bits apart or fewer."""
+    return simhash.one_of_each(docs)
 
 
 def _sized(docs: DataFrame) -> DataFrame:
@@ -46,9 +46,8 @@ def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def to_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, the ids of the text, their number, and whether they decode to the text."""
-    model = piece_model()
-    coded = pieces.decode(pieces.encode(docs.select("doc_id", "text"), model), model)
-    return coded.select("doc_id", "ids", F.size("ids").cast("long").alias("n_pieces"), F.col("decoded").eqNullSafe(F.col("text")).alias("returned"))
+    coded = pieces.round_trips(docs, piece_model())
+    return coded.select("doc_id", "ids", F.size("ids").cast("long").alias("n_pieces"), "returned")
 
 
 STAGES = [
