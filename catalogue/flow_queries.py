@@ -21,12 +21,14 @@ from eventloom.operators import publish
 from eventloom.operators.shred import shred, sorted_out
 from eventloom.plans.health_log import all_reports
 from eventloom.plans.sessions import redo_requests
-from eventloom.sources.events import only_files, read_event_xml, read_events
+from eventloom.sources.events import only_files, read_event_documents, read_event_xml, read_events
+from eventloom.sources.tables import loaded_tables, reload_tables, save, save_parsed, save_raw, save_tables, shared_folder
 from eventloom.sources.tables import register as name_for_sql
-from eventloom.sources.tables import save, save_parsed, save_raw, save_tables, shared_folder
-from eventloom.streaming.capture import capture_waits
-from eventloom.streaming.ingest import append, append_table, distinct_rows, ring_rows
-from eventloom.streaming.replicate import collect_changes, compact, current_copy, untaken
+from eventloom.sources.versions import Rejected
+from eventloom.streaming.capture import capture_waits, capture_while_seen
+from eventloom.streaming.ingest import append, append_table, distinct_rows, ingest_tables, ingested, ring_rows, write_batch
+from eventloom.streaming.ledger import load_dumps, loaded_events
+from eventloom.streaming.replicate import BucketedCopy, collect_changes, compact, current_copy, untaken
 from eventloom.tables import cluster_diagnostics, components, health_log, system_health
 from eventloom.tables.wait_capture import WAIT_INFO
 
@@ -68,6 +70,28 @@ def captured_waits_stream(spark, sf_dir):
 
 register("captured_waits_stream", captured_waits_stream, _CAPTURED)
 
+
+
+def captured_intervals_stream(spark, sf_dir):
+    """Redo sessions seen at their own times, and the waits of each for three days from then: two streams."""
+    base = shared_folder(spark)
+    seen = redo_requests(DerivedState(spark, sf_dir)).selectExpr("session_id", f"CAST({logs.clock('session_id')} AS TIMESTAMP_NTZ) AS seen_at")
+    seen = save(seen, f"{base}/seen")
+    wait_log(spark, sf_dir).drop("file_name").write.parquet(f"{base}/files")
+    snapshots = spark.readStream.schema(seen.schema).parquet(f"{base}/seen")
+    waits = capture_while_seen(read_events(spark, f"{base}/files", stream=True), snapshots, timedelta(days=3), timedelta(days=400))
+    append(waits, f"{base}/waits", f"{base}/checkpoint").awaitTermination()
+    return spark.read.schema(waits.schema).parquet(f"{base}/waits")
+
+
+register(
+    "captured_intervals_stream",
+    captured_intervals_stream,
+    f"""SELECT w.* FROM ({WAITS}) w JOIN (SELECT v_opcode, a_v_event_sequence AS e FROM {logs.WAIT_EVENT.oracle()}) o ON w.EventSequenceNum = CAST(o.e AS BIGINT)
+WHERE o.v_opcode = '1' AND EXISTS (SELECT 1 FROM (SELECT session_id, CAST({logs.clock('session_id')} AS TIMESTAMP) AS seen_at FROM {state_oracle('exec_requests')} WHERE {REDO}) s
+  WHERE s.session_id = w.Session_ID AND w.TimeStamp >= s.seen_at AND w.TimeStamp < s.seen_at + INTERVAL 3 DAY)""",
+)
+
 # --------------------------------------------------------------- ingestion
 
 
@@ -81,6 +105,25 @@ def ingested_waits_stream(spark, sf_dir):
 
 register("ingested_waits_stream", ingested_waits_stream, WAITS)
 
+
+def ingested_health_stream(spark, sf_dir):
+    """Rows of all health tables, fed by one stream in several batches; the last batch comes twice."""
+    base = shared_folder(spark)
+    log = logs.log(spark, sf_dir, logs.HEALTH_LOG, broken=True).drop("file_name")
+    for part in range(2):
+        log.where(F.col("file_offset") % 2 == part).write.mode("append").parquet(f"{base}/files")
+    stream = read_events(spark, f"{base}/files", stream=True, files_per_batch=12)
+    ingest_tables(stream, health_log.TABLES, f"{base}/tables", f"{base}/checkpoint").awaitTermination()
+    last = spark.read.parquet(f"{base}/tables/parsed").agg(F.max("batch")).first()[0]
+    again = spark.read.parquet(f"{base}/tables/parsed/batch={last}").select("object_name", "event_data", "file_name", "file_offset")
+    write_batch(save(again, f"{base}/again"), last, health_log.TABLES, f"{base}/tables")
+    counts = [ingested(spark, f"{base}/tables", s).agg(F.count("*").alias("records")).select(F.lit(s.table).alias("table_name"), "records") for s in health_log.TABLES]
+    return reduce(DataFrame.unionByName, counts)
+
+
+_TABLE_ROWS = " UNION ALL ".join(f"SELECT '{spec.table}' AS table_name, count(*) AS records FROM {x.table}" for spec, x in zip(health_log.TABLES, logs.HEALTH_LOG))
+register("ingested_health_stream", ingested_health_stream, _TABLE_ROWS)
+
 # ------------------------------------------------------- duplicate removal
 
 
@@ -100,6 +143,18 @@ _SECURITY_FULL = """ts AS RBEventTimeStampUTC, v_id AS ID, v_timestamp AS "times
  v_error_code AS ErrorCode, v_api_name AS APIName, v_calling_api_name AS CallingAPIName"""
 register("ring_security_stream", ring_security_stream, oracle_rows(_SECURITY_FULL, logs.RING_SECURITY))
 
+
+def ring_security_ledger(spark, sf_dir):
+    """The same dumps in four loads, late ones and repeats among them: a text is parsed once, a day without news is not touched."""
+    path = f"{shared_folder(spark)}/ring"
+    dumps = logs.log(spark, sf_dir, logs.CLUSTER_LOG)
+    for name, part in [("c", F.col("file_offset") % 3 == 2), ("a", F.col("file_offset") % 3 == 0), ("b", F.col("file_offset") % 3 == 1), ("again", F.col("file_offset") % 7 == 0)]:
+        load_dumps(dumps.where(part), cluster_diagnostics.RING_SECURITY, path, name)
+    return loaded_events(spark, path, cluster_diagnostics.RING_SECURITY)
+
+
+register("ring_security_ledger", ring_security_ledger, oracle_rows(_SECURITY_FULL, logs.RING_SECURITY))
+
 # ------------------------------------------------------ file formats and layers
 
 
@@ -133,6 +188,44 @@ def errors_from_xml(spark, sf_dir):
 register("events_from_xml", errors_from_xml, ERRORS)
 
 
+def document(events, path):
+    """Event elements of many lines under no line's bounds: one text a file, under a root."""
+    events.select("event_data").write.option("lineSep", "  ").text(path)
+    return path
+
+
+def errors_from_documents(spark, sf_dir):
+    """Multi-line documents split between tasks at their end tags."""
+    path = document(logs.raw_events(spark, sf_dir, logs.ERROR_EVENT), f"{shared_folder(spark)}/AlwaysOn_health")
+    return shred(read_event_documents(spark, path), health_log.ERROR_REPORTED, cut=True)
+
+
+register("events_from_documents", errors_from_documents, ERRORS)
+
+
+def document_offsets(spark, sf_dir):
+    """Records and different places of documents whose records hold events of their own in dumps."""
+    path = document(logs.log(spark, sf_dir, logs.CLUSTER_LOG), f"{shared_folder(spark)}/SQLDIAG")
+    found = read_event_documents(spark, path)
+    return found.groupBy("object_name").agg(F.count("*").alias("records"), F.countDistinct("file_name", "file_offset").alias("places"))
+
+
+register(
+    "document_offsets",
+    document_offsets,
+    "SELECT object_name, count(*) AS records, count(*) AS places FROM (" + " UNION ALL ".join(f"SELECT '{x.event}' AS object_name FROM {x.table}" for x in logs.CLUSTER_LOG) + ") GROUP BY object_name",
+)
+
+
+def ring_from_documents(spark, sf_dir):
+    """Ring-buffer events of dumps that documents hold."""
+    path = document(logs.log(spark, sf_dir, logs.CLUSTER_LOG), f"{shared_folder(spark)}/SQLDIAG")
+    return shred(read_event_documents(spark, path), cluster_diagnostics.RING_SECURITY)
+
+
+register("ring_from_documents", ring_from_documents, oracle_rows(_SECURITY_FULL, logs.RING_SECURITY))
+
+
 def stored_raw_layer(spark, sf_dir):
     """The raw log stored by event type; the route reads one partition."""
     raw = save_raw(logs.log(spark, sf_dir, logs.HEALTH_LOG), f"{shared_folder(spark)}/raw")
@@ -172,6 +265,21 @@ def stored_tables(spark, sf_dir):
 register("reloaded_table", stored_tables, STATES)
 
 
+def switched_tables(spark, sf_dir):
+    """A family loaded; a second load does not pass its check, and readers keep the first."""
+    base, log = shared_folder(spark), logs.log(spark, sf_dir, logs.HEALTH_LOG)
+    specs = [health_log.REPLICA_STATE, health_log.LEASE_EXPIRED]
+    reload_tables(log, specs, base, cut=True)
+    try:
+        reload_tables(log.where("file_offset % 2 = 0"), specs, base, cut=True, check=lambda name, t: t.count() >= loaded_tables(spark, base, specs)[name].count())
+    except Rejected:
+        pass
+    return loaded_tables(spark, base, specs)[health_log.REPLICA_STATE.table]
+
+
+register("switched_tables", switched_tables, STATES)
+
+
 def saved_tables(sources, specs):
     """Rows of every typed table of a log, all written from one parse of each record."""
 
@@ -348,19 +456,38 @@ def replicated_copy(spark, sf_dir):
 register("replicated_copy", replicated_copy, _APPLIED)
 
 
+def _late_source(spark, sf_dir):
+    source = _source(spark, sf_dir)
+    return source.unionByName(source.where("user_id = 1").withColumn("user_id", F.lit(None).cast("long")))
+
+
+def _late_feed(spark, sf_dir):
+    feed = _feed(spark, sf_dir)
+    return feed.unionByName(feed.where("user_id <= 3").withColumn("user_id", F.lit(None).cast("long")))
+
+
 def late_changes(spark, sf_dir):
     """The newest half of a feed is folded in first; the older half, repeats and NULL keys come later."""
     base = shared_folder(spark)
-    source = _source(spark, sf_dir)
-    source = source.unionByName(source.where("user_id = 1").withColumn("user_id", F.lit(None).cast("long")))
-    feed = _feed(spark, sf_dir)
-    feed = save(feed.unionByName(feed.where("user_id <= 3").withColumn("user_id", F.lit(None).cast("long"))), f"{base}/feed")
+    source = _late_source(spark, sf_dir)
+    feed = save(_late_feed(spark, sf_dir), f"{base}/feed")
     newest = spark.sql("SELECT * FROM {feed} WHERE sequence > (SELECT (min(sequence) + max(sequence)) DIV 2 FROM {feed})", feed=feed)
     folded = compact(source, newest, ["user_id"], f"{base}/folded")
     again = compact(folded, feed.unionByName(feed), ["user_id"], f"{base}/again")
     return current_copy(again, untaken(feed, again, ["user_id"]), ["user_id"])
 
 
+def bucketed_copy(spark, sf_dir):
+    """The same feed folded into a copy in buckets, the older half last and twice: only buckets with changes are written."""
+    feed = save(_late_feed(spark, sf_dir), f"{shared_folder(spark)}/feed")
+    newest = spark.sql("SELECT * FROM {feed} WHERE sequence > (SELECT (min(sequence) + max(sequence)) DIV 2 FROM {feed})", feed=feed)
+    copy = BucketedCopy(spark, f"{shared_folder(spark)}/copy", ["user_id"], buckets=16)
+    copy.create(_late_source(spark, sf_dir), newest)
+    for changes in (feed.where("sequence % 3 = 0"), feed, feed.where("user_id < 40")):
+        copy.compact(changes)
+    return publish.visible(copy.read())
+
+
 _LATE = f"""
 WITH feed AS (SELECT {_FEED} FROM events), every AS (SELECT * FROM feed UNION ALL SELECT NULL, name, value, operation, sequence FROM feed WHERE user_id <= 3),
  last AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY sequence DESC) AS rn FROM every) WHERE rn = 1),
@@ -368,6 +495,7 @@ WITH feed AS (SELECT {_FEED} FROM events), every AS (SELECT * FROM feed UNION AL
 SELECT user_id, name, value FROM source s WHERE NOT EXISTS (SELECT 1 FROM last l WHERE l.user_id IS NOT DISTINCT FROM s.user_id)
 UNION ALL SELECT user_id, name, value FROM last WHERE lower(operation) <> 'delete'"""
 register("late_changes", late_changes, _LATE)
+register("bucketed_copy", bucketed_copy, _LATE)
 register(
     "added_column",
     lambda spark, sf_dir: publish.add_columns(

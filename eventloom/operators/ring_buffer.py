@@ -85,8 +85,11 @@ def ring_events(raw: DataFrame, spec: TableSpec, mode: str = "all", unique_text:
     if mode not in ("all", "first"):
         raise ValueError(f"mode must be 'all' or 'first', not {mode!r}")
     texts = matching_text(raw, spec.ring_buffer, mode)
-    if unique_text:
-        texts = texts.distinct()
+    return parsed_texts(texts.distinct() if unique_text else texts, spec, mode)
+
+
+def parsed_texts(texts: DataFrame, spec: TableSpec, mode: str = "all") -> DataFrame:
+    """The same rows from texts already cut out by `matching_text`."""
     schema = f"{TARGET} ARRAY<STRUCT<event ARRAY<STRUCT<{envelope.event_type(spec.parts)}>>>>"
     root = F.concat(F.lit("<buffers>"), F.col("buffers"), F.lit("</buffers>"))
     dumps = texts.select(F.from_xml(root, schema, envelope.OPTIONS).alias("root"))

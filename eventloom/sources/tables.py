@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from eventloom.operators import envelope
 from eventloom.operators.shred import shred
 from eventloom.operators.specs import TableSpec
+from eventloom.sources import versions
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -21,6 +22,9 @@ def shared_folder(spark: SparkSession) -> str:
     the folder; results that read from it are lazy, so nothing here does.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    on_cluster = not spark.conf.get("spark.master", "local").startswith("local")
+    if on_cluster and not spark.conf.get("spark.checkpoint.dir", None) and base.startswith("file:"):
+        raise ValueError("spark.checkpoint.dir is unset and the warehouse is a folder of this machine: name a shared folder")
     return f"{base.rstrip('/')}/eventloom-{uuid.uuid4().hex}"
 
 
@@ -65,6 +69,28 @@ def save_tables(events: DataFrame, specs: Iterable[TableSpec], path: str, cut: b
     return {s.table: save(shred(events, s, cut), f"{folder}/{s.table}") for s in specs}
 
 
+def reload_tables(events: DataFrame, specs: Iterable[TableSpec], path: str, cut: bool = False, check: Callable[[str, DataFrame], bool] | None = None) -> dict[str, DataFrame]:
+    """Load every typed table of a family anew, and switch to the new ones together once all are written.
+
+    check(table name, staged table): where it fails for any of them, or a load breaks off, readers keep
+    the family as it was. Read it with `loaded_tables`.
+    """
+    spark, specs = events.sparkSession, list(specs)
+    folder = versions.stage(spark, path)
+    made = save_tables(events, specs, folder, cut)
+    bad = [name for name, df in made.items() if check is not None and not check(name, df)]
+    if bad:
+        raise versions.Rejected(f"tables staged for {path} did not pass their check: {', '.join(bad)}")
+    versions.switch(spark, path, {versions.WHOLE: folder}, folder)
+    return made
+
+
+def loaded_tables(spark: SparkSession, path: str, specs: Iterable[TableSpec]) -> dict[str, DataFrame]:
+    """The current tables of a family that `reload_tables` has loaded."""
+    folder = versions.newest(spark, path)[versions.WHOLE]
+    return {s.table: spark.read.parquet(f"{folder}/{s.table}") for s in specs}
+
+
 def register(tables: dict[str, DataFrame]) -> None:
     """Give result tables names for SQL."""
     for name, df in tables.items():

@@ -11,12 +11,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from eventloom.operators.publish import SEQUENCE, VERSION, apply_changes, merge_changes, same_keys
+from eventloom.sources import versions
 from eventloom.streaming.ingest import append
 
+BUCKET = "_bucket"
+
 
 def collect_changes(feed: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
     """Append the changes of a stream under `path`, exactly once."""
@@ -44,3 +48,49 @@ def untaken(changes: DataFrame, snapshot: DataFrame, keys: Sequence[str]) -> Dat
         return changes
     held = snapshot.select(*keys, VERSION)
     return changes.join(held, same_keys(changes, held, keys) & (changes[SEQUENCE] <= held[VERSION]), "left_anti")
+
+
+class BucketedCopy:
+    """A versioned copy in buckets by the hash of its key: folding changes in writes the buckets they fall into.
+
+    Buckets that no change falls into keep their files, and are not read. The new files of all touched
+    buckets become current together (`sources.versions`), so readers see all of a compaction or none.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], buckets: int = 64):
+        """`buckets` is fixed for the life of a copy; a bucket should fit a few tasks, and a row a bucket the driver."""
+        self.spark, self.path, self.keys, self.buckets = spark, path.rstrip("/"), list(keys), buckets
+
+    def bucket(self) -> Column:
+        """The bucket of a row; null keys have one too."""
+        return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("long")
+
+    def _write(self, rows: DataFrame) -> None:
+        folder = versions.stage(self.spark, self.path)
+        rows.withColumn(BUCKET, self.bucket()).hint("rebalance", BUCKET).write.partitionBy(BUCKET).parquet(folder)
+        written = self.spark.read.parquet(folder)
+        held = [r[0] for r in written.select(F.col(BUCKET).cast("long")).distinct().collect()] if BUCKET in written.columns else []
+        versions.switch(self.spark, self.path, {b: f"{folder}/{BUCKET}={b}" for b in held}, folder)
+
+    def create(self, snapshot: DataFrame, changes: DataFrame) -> None:
+        """Write the first copy: `snapshot` with `changes`, which also tell the type of versions, folded in."""
+        self._write(merge_changes(snapshot, changes, self.keys))
+
+    def _folders(self, wanted: set[int] | None = None) -> list[str]:
+        return [f for b, f in sorted(versions.newest(self.spark, self.path).items()) if wanted is None or b in wanted]
+
+    def read(self) -> DataFrame:
+        """The whole versioned copy; see `visible`."""
+        return self.spark.read.parquet(*self._folders())
+
+    def compact(self, changes: DataFrame) -> set[int]:
+        """Fold `changes` in; returns the buckets they fall into, the only ones that were read and written."""
+        touched = {r[0] for r in changes.select(self.bucket()).distinct().collect()}
+        if not touched:
+            return touched
+        folders = self._folders(touched)
+        every = self._folders()
+        schema = self.spark.read.parquet(every[0]).schema
+        held = self.spark.read.schema(schema).parquet(*folders) if folders else self.spark.createDataFrame([], schema)
+        self._write(merge_changes(held, changes, self.keys))
+        return touched
