@@ -21,6 +21,7 @@ from eventloom.operators import publish
 from eventloom.operators.shred import shred, sorted_out
 from eventloom.plans.health_log import all_reports
 from eventloom.plans.sessions import redo_requests
+from eventloom.sources.capture_files import capture_files, read_captures
 from eventloom.sources.events import only_files, read_event_documents, read_event_xml, read_events
 from eventloom.sources.tables import loaded_tables, reload_tables, save, save_parsed, save_raw, save_tables, shared_folder
 from eventloom.sources.tables import register as name_for_sql
@@ -400,6 +401,20 @@ register(
     ),
 )
 
+
+
+def resolved_capture(spark, sf_dir):
+    """The exports of the health session's own capture, found in the server's tables; the scan opens no others."""
+    base, state = shared_folder(spark), DerivedState(spark, sf_dir)
+    log = logs.log(spark, sf_dir, (logs.ERROR_EVENT, logs.LEASE_EVENT, logs.MANAGER_EVENT)).drop("file_name")
+    for folder, source in [("AlwaysOn_health_0_7", logs.ERROR_EVENT), ("AlwaysOn_health_of_others_0_7", logs.LEASE_EVENT), ("system_health_0_7", logs.MANAGER_EVENT)]:
+        log.where(F.col("object_name") == source.event).write.parquet(f"{base}/exports/{folder}")
+    files = capture_files(state["xe_sessions"], state["xe_targets"], "AlwaysOn_Health", "AlwaysOn_health*.xel")
+    return read_captures(spark, f"{base}/exports/*", files).select("object_name", "file_offset")
+
+
+register("resolved_capture", resolved_capture, "SELECT 'error_reported' AS object_name, event_id AS file_offset FROM events")
+
 # ------------------------------------------------------------- publishing
 
 _CUSTOMER = "c_custkey AS user_id, c_name AS name, c_acctbal AS value"

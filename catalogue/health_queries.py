@@ -14,7 +14,6 @@ from eventloom.operators.shred import bad_literals, settle, shred
 from eventloom.operators.envelope import quarantine
 from eventloom.plans import health_log as reports
 from eventloom.plans import waits as wait_reports
-from eventloom.sources.tables import save_raw, shared_folder
 from eventloom.tables import health_log as tables
 from eventloom.tables.wait_capture import WAIT_INFO
 
@@ -210,8 +209,8 @@ LEFT JOIN {_COUNTS} c ON s.XEvent = left(c.object_name, 50)"""
 
 
 def names(spark, sf_dir):
-    """The stored raw layer; the event names are its partitions, so no event text is read."""
-    return save_raw(raw(spark, sf_dir), shared_folder(spark))
+    """Counting by event name asks for no other column of the log, so no event text is built, read or stored."""
+    return logs.log_names(spark, sf_dir, logs.HEALTH_LOG)
 
 
 def event_summary(version):

@@ -718,6 +718,12 @@ def log(spark: SparkSession, sf_dir: str, sources: tuple[EventSource, ...], brok
     return reduce(DataFrame.unionByName, parts)
 
 
+def log_names(spark: SparkSession, sf_dir: str, sources: tuple[EventSource, ...]) -> DataFrame:
+    """The column object_name of `log(..., broken=True)`, without a text being built for it."""
+    parts = [table(spark, sf_dir, x.table).select(F.lit(x.event).alias("object_name")) for x in sources]
+    return reduce(DataFrame.unionByName, [*parts, broken_events(spark, sf_dir).select("object_name")])
+
+
 # An event of no listed name, in single quotes, behind a comment, and a record under a foreign root.
 NAMELESS = (
     "'<!-- > --><event name=' || chr(39) || 'nobody' || chr(39) || ' note=' || chr(39) || 'a>b' || chr(39) || '>"

@@ -4,8 +4,12 @@ from __future__ import annotations
 
 from catalogue import logs
 from catalogue.registry import big, num, register
+from eventloom.operators.fragments import entries
 from eventloom.operators.shred import settle, shred
 from eventloom.plans import system_health as reports
+from eventloom.sources.tables import save_parsed, shared_folder
+from eventloom.tables import cluster_diagnostics as cluster
+from eventloom.tables import components
 from eventloom.tables import system_health as tables
 
 
@@ -184,3 +188,49 @@ register(
     left(destination, 10) AS Destination, left(is_intercepted, 15) AS IsIntercepted, message, session_id, database_id,
     EventData FROM ({ERRORS})""",
 )
+
+
+# ------------------------------------------- lists inside components, a row an entry
+
+
+def opened(spec, sources, stored=False):
+    def query(spark, sf_dir):
+        events = logs.log(spark, sf_dir, sources)
+        return entries(save_parsed(events, f"{shared_folder(spark)}/parsed", components.EVERY_PAYLOAD) if stored else events, spec)
+
+    return query
+
+
+def _entries(source, select: str, condition: str) -> str:
+    return f"SELECT object_name, ts AS TimeStampUTC, {select} FROM {source.oracle()} WHERE {condition}"
+
+
+def _pending(source, component: str) -> str:
+    is_io = f"lower({component}) = 'io_subsystem' AND pending_path IS NOT NULL"
+    none = "CAST(NULL AS VARCHAR) AS \"offset\", CAST(NULL AS VARCHAR) AS handle"
+    first = _entries(source, f"1 AS position, CAST(pending_duration AS INTEGER) AS duration, pending_path AS filePath, {none}", is_io)
+    return f"{first} UNION ALL " + _entries(source, f"2 AS position, 99999 AS duration, 'second' AS filePath, {none}", is_io)
+
+
+def _top(source, component: str) -> str:
+    is_query = f"lower({component}) = 'query_processing'"
+    none = "CAST(NULL AS BIGINT) AS averageWaitTime, CAST(NULL AS BIGINT) AS maxWaitTime"
+    out = []
+    for kind, order, wait in [("nonPreemptive", "byCount", "np_count"), ("nonPreemptive", "byDuration", "np_duration"), ("preemptive", "byCount", "p_count")]:
+        mark = f"'{kind}' AS kind, '{order}' AS ordered"
+        out.append(_entries(source, f"{mark}, 1 AS position, w_{wait} AS waitType, CAST(q_oldestPendingTaskWaitingTime AS BIGINT) AS waits, {none}", is_query))
+        out.append(_entries(source, f"{mark}, 2 AS position, 'OTHER' AS waitType, CAST(NULL AS BIGINT) AS waits, {none}", is_query))
+    return " UNION ALL ".join(out)
+
+
+def _cpu(source, component: str) -> str:
+    none = "CAST(NULL AS INTEGER) AS cpuUtilization, CAST(NULL AS BIGINT) AS cpuTimeMs"
+    request = "1 AS position, CAST(q_oldestPendingTaskWaitingTime AS INTEGER) AS sessionId, CAST(NULL AS INTEGER) AS requestId, 'SELECT <*>' AS command"
+    return _entries(source, f"{request}, CAST(NULL AS VARCHAR) AS taskAddress, {none}", f"lower({component}) = 'query_processing'")
+
+
+register("sh_pending_requests", opened(tables.PENDING_REQUESTS, (logs.SH_COMPONENT,)), _pending(logs.SH_COMPONENT, "t_component"))
+register("sh_top_waits", opened(tables.TOP_WAITS, (logs.SH_COMPONENT,)), _top(logs.SH_COMPONENT, "t_component"))
+register("sh_cpu_requests", opened(tables.CPU_REQUESTS, (logs.SH_COMPONENT,)), _cpu(logs.SH_COMPONENT, "t_component"))
+register("sd_pending_requests", opened(cluster.PENDING_REQUESTS, (logs.SD_COMPONENT,)), _pending(logs.SD_COMPONENT, "v_component_name"))
+register("sd_stored_top_waits", opened(cluster.TOP_WAITS, (logs.SD_COMPONENT,), stored=True), _top(logs.SD_COMPONENT, "v_component_name"))

@@ -2,12 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import re
+from collections.abc import Iterable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventloom.functions.paths import folder_of
 from eventloom.functions.text import same
 from eventloom.operators.lookup import join_on
+from eventloom.sources.events import read_events
+
+#: Capture files that a scan can name: sessions have one target file each.
+MOST_FILES = 10_000
+# A rollover number and a time of creation stand between a capture's name and its extension.
+_ROLLOVER = re.compile(r"(?:_\d+)*\.[^.\\/]*$")
 
 
 def capture_files(sessions: DataFrame, targets: DataFrame, session: str, pattern: str) -> DataFrame:
@@ -30,3 +39,31 @@ def capture_files(sessions: DataFrame, targets: DataFrame, session: str, pattern
         folder.alias("folder"),
         F.concat(folder, F.lit(pattern)).alias("search_pattern"),
     )
+
+
+def stem(target_file: str) -> str:
+    """What all files of a capture begin with: its file name without rollover numbers and extension."""
+    return _ROLLOVER.sub("", re.split(r"[\\/]", target_file)[-1])
+
+
+def of_captures(stems: Iterable[str]) -> Column:
+    """Whether a scanned file is of one of some captures, by its own name or that of the folder it lies in.
+
+    A predicate on file metadata alone. Names are compared without case, as the server's file system
+    does. A capture's name may begin with another's: what follows it has to be rollover numbers and an
+    extension.
+    """
+    named = "|".join(sorted({re.escape(s.lower()) for s in stems})) or "(?!)"
+    return F.lower(F.col("_metadata.file_path")).rlike(rf"/(?:{named})(?:_\d+)*(?:\.[^/]*)?(?:/[^/]*)?$")
+
+
+def read_captures(spark: SparkSession, path: str, files: DataFrame, fmt: str = "parquet") -> DataFrame:
+    """The raw layer of the exported files under `path` that belong to the captures in `files(target_file)`.
+
+    `files` is what `capture_files` finds, a row a session. The names become a predicate on file
+    metadata: the scan lists the folder and opens no other file.
+    """
+    found = files.select("target_file").where("target_file IS NOT NULL").distinct().limit(MOST_FILES + 1).collect()
+    if len(found) > MOST_FILES:
+        raise ValueError(f"more than {MOST_FILES} capture files")
+    return read_events(spark, path, fmt, only=of_captures(stem(r.target_file) for r in found))

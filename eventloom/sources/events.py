@@ -39,7 +39,13 @@ def _with_file_name(df: DataFrame) -> DataFrame:
 
 
 def read_events(
-    spark: SparkSession, path: str, fmt: str = "parquet", pattern: str | None = None, stream: bool = False, files_per_batch: int | None = None
+    spark: SparkSession,
+    path: str,
+    fmt: str = "parquet",
+    pattern: str | None = None,
+    stream: bool = False,
+    files_per_batch: int | None = None,
+    only: Column | None = None,
 ) -> DataFrame:
     """Exported event records under `path`, optionally only files matching `pattern`.
 
@@ -47,15 +53,17 @@ def read_events(
     text files hold one event element per line and have no offsets: they are NULL, and a record is
     told apart by its text (`read_event_documents` gives them offsets). A csv file is read by one
     task, since event text may hold line breaks; the other formats are split. `stream` follows the folder instead,
-    with at most `files_per_batch` files in a micro-batch.
+    with at most `files_per_batch` files in a micro-batch. `only` is a predicate on `_metadata`, by
+    which the scan leaves files out before it opens them.
     """
     if fmt not in FORMATS:
         raise ValueError(f"format must be one of {FORMATS}, not {fmt!r}")
     reader = _reader(spark, stream, pattern)
     if stream and files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    chosen = F.lit(True) if only is None else only
     if fmt == "text":
-        lines = reader.text(path).where(F.trim("value") != "")
+        lines = reader.text(path).where(chosen).where(F.trim("value") != "")
         named = lines.select(
             _first_name("value").alias("object_name"),
             F.col("value").alias("event_data"),
@@ -66,7 +74,7 @@ def read_events(
     reader = reader.schema(RAW_SCHEMA)
     if fmt == "csv":
         reader = reader.option("header", True).option("multiLine", True).option("escape", '"')
-    return _with_file_name(reader.format(fmt).load(path))
+    return _with_file_name(reader.format(fmt).load(path).where(chosen))
 
 
 def read_event_xml(

@@ -28,9 +28,14 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/eventloom-{uuid.uuid4().hex}"
 
 
-def save(df: DataFrame, path: str, partition_by: Iterable[str] = ()) -> DataFrame:
-    """Create the table, or replace its content, and read it back."""
-    writer = df.write.mode("overwrite")
+#: Events of a file of the raw layer. A task takes as many files as fit its bytes, each counted as
+#: `spark.sql.files.openCostInBytes` more: 32 of them with Spark's defaults, however well they are compressed.
+EVENTS_A_FILE = 20_000
+
+
+def save(df: DataFrame, path: str, partition_by: Iterable[str] = (), rows_a_file: int = 0) -> DataFrame:
+    """Create the table, or replace its content, and read it back. rows_a_file: a longer file is cut there."""
+    writer = df.write.mode("overwrite").option("maxRecordsPerFile", rows_a_file)
     keys = list(partition_by)
     (writer.partitionBy(*keys) if keys else writer).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
@@ -42,13 +47,16 @@ def save_as_table(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.table(name)
 
 
-def save_raw(raw: DataFrame, path: str) -> DataFrame:
+def save_raw(raw: DataFrame, path: str, events_a_file: int = EVENTS_A_FILE) -> DataFrame:
     """The raw layer partitioned by event type, so that a route reads only its own files.
 
     The rows are rebalanced by type: AQE merges small types and splits a dominant one by bytes, so
-    files have a useful size and the number of writing tasks grows with the data.
+    files have a useful size and the number of writing tasks grows with the data. Reading the layer
+    means parsing it, which costs by the event, while a scan is split by bytes, and events shrink ten
+    to twenty times in a file. So files are cut by their events, and the events that a task parses
+    have a bound.
     """
-    return save(raw.hint("rebalance", "object_name"), path, ["object_name"])
+    return save(raw.hint("rebalance", "object_name"), path, ["object_name"], events_a_file)
 
 
 def save_parsed(raw: DataFrame, path: str, payload: dict[str, str] | None = None) -> DataFrame:

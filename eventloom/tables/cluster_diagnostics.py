@@ -63,6 +63,10 @@ QUERY = _component(
 )
 RESOURCE = _component("SD_resource", "resource", components.resource(), components.RESOURCE_PAYLOAD)
 
+PENDING_REQUESTS = components.pending_requests("SD_pending_requests", IO_SUBSYSTEM)
+TOP_WAITS = components.top_waits("SD_top_waits", QUERY)
+CPU_REQUESTS = components.cpu_requests("SD_cpu_requests", QUERY)
+
 GROUP_STATUS_CHANGE = TableSpec(
     table="SD_AGStatusChange",
     event="availability_group_state_change",

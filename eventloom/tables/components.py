@@ -6,7 +6,8 @@ Fixed values: component names, attribute names and the order of the memory repor
 from __future__ import annotations
 
 from eventloom.functions.typed import BIGINT, INT, STRING
-from eventloom.operators.specs import Source, attribute, fragment, nested
+from eventloom.operators.fragments import ListSpec
+from eventloom.operators.specs import Source, TableSpec, attribute, fragment, nested
 
 
 def _struct(names: list[str], *more: str) -> str:
@@ -98,14 +99,39 @@ QUERY_PAYLOAD = {
         list(_QUERY), f"topWaits ARRAY<STRUCT<nonPreemptive {_WAIT_KIND}, preemptive {_WAIT_KIND}>>"
     )
 }
+
+# The lists inside components, with every attribute of their entries.
+PENDING_REQUEST = {"duration": INT, "filePath": STRING, "offset": STRING, "handle": STRING}
+TOP_WAIT = {"waitType": STRING, "waits": BIGINT, "averageWaitTime": BIGINT, "maxWaitTime": BIGINT}
+CPU_REQUEST = {
+    "sessionId": INT,
+    "requestId": INT,
+    "command": STRING,
+    "taskAddress": STRING,
+    "cpuUtilization": INT,
+    "cpuTimeMs": BIGINT,
+}
+
+_EVERY_WAIT = f"ARRAY<STRUCT<wait ARRAY<{_struct(list(TOP_WAIT))}>>>"
+_EVERY_WAIT_KIND = f"ARRAY<STRUCT<byCount {_EVERY_WAIT}, byDuration {_EVERY_WAIT}>>"
+IO_LISTS_PAYLOAD = {
+    "ioSubsystem": _struct(list(_IO), f"longestPendingRequests ARRAY<STRUCT<pendingRequest ARRAY<{_struct(list(PENDING_REQUEST))}>>>")
+}
+QUERY_LISTS_PAYLOAD = {
+    "queryProcessing": _struct(
+        list(_QUERY),
+        f"topWaits ARRAY<STRUCT<nonPreemptive {_EVERY_WAIT_KIND}, preemptive {_EVERY_WAIT_KIND}>>",
+        f"cpuIntensiveRequests ARRAY<STRUCT<request ARRAY<{_struct(list(CPU_REQUEST))}>>>",
+    )
+}
 AVAILABILITY_GROUP_PAYLOAD = {"availabilityGroup": _struct(["resourceID", "leaseValid"])}
 
 # For a stored parsed layer that serves every component table.
 EVERY_PAYLOAD = {
     **SYSTEM_PAYLOAD,
     **RESOURCE_PAYLOAD,
-    **IO_PAYLOAD,
-    **QUERY_PAYLOAD,
+    **IO_LISTS_PAYLOAD,
+    **QUERY_LISTS_PAYLOAD,
     **AVAILABILITY_GROUP_PAYLOAD,
 }
 
@@ -126,8 +152,32 @@ def io() -> dict[str, Source]:
     return {n: attribute("ioSubsystem", n, kind) for n, kind in _IO.items()}
 
 
+_PENDING = "flatten(transform(ioSubsystem.longestPendingRequests, r -> coalesce(r.pendingRequest, array())))"
+_CPU = "flatten(transform(queryProcessing.cpuIntensiveRequests, r -> coalesce(r.request, array())))"
+
+
+def _top_waits(kind: str, order: str) -> str:
+    """The waits of one of the four lists, in document order."""
+    orders = f"flatten(transform(queryProcessing.topWaits, w -> coalesce(w.{kind}, array()))).{order}"
+    return f"flatten(transform(flatten(filter({orders}, o -> o IS NOT NULL)), o -> coalesce(o.wait, array())))"
+
+
+def pending_requests(table: str, of: TableSpec) -> ListSpec:
+    return ListSpec(table, of, IO_LISTS_PAYLOAD, [({}, _PENDING)], PENDING_REQUEST)
+
+
+def top_waits(table: str, of: TableSpec) -> ListSpec:
+    """The marks are the kind of wait and what the list is ordered by."""
+    lists = [({"kind": k, "ordered": o}, _top_waits(k, o)) for k in ("nonPreemptive", "preemptive") for o in ("byCount", "byDuration")]
+    return ListSpec(table, of, QUERY_LISTS_PAYLOAD, lists, TOP_WAIT)
+
+
+def cpu_requests(table: str, of: TableSpec) -> ListSpec:
+    return ListSpec(table, of, QUERY_LISTS_PAYLOAD, [({}, _CPU)], CPU_REQUEST)
+
+
 def longest_pending_request() -> dict[str, Source]:
-    requests = "flatten(transform(ioSubsystem.longestPendingRequests, r -> coalesce(r.pendingRequest, array())))"
+    requests = _PENDING
 
     def first(attr: str) -> str:
         return f"get(filter({requests}.{attr}, x -> x IS NOT NULL), 0)"
@@ -139,9 +189,7 @@ def query_processing() -> dict[str, Source]:
     out = {n: attribute("queryProcessing", n, kind) for n, kind in _QUERY.items()}
 
     def first_wait(kind: str, order: str) -> Source:
-        orders = f"flatten(transform(queryProcessing.topWaits, w -> coalesce(w.{kind}, array()))).{order}"
-        waits = f"flatten(transform(flatten(filter({orders}, o -> o IS NOT NULL)), o -> coalesce(o.wait, array())))"
-        return nested(f"get(filter({waits}._waitType, x -> x IS NOT NULL), 0)")
+        return nested(f"get(filter({_top_waits(kind, order)}._waitType, x -> x IS NOT NULL), 0)")
 
     out["topNonPreemptWaitByCount"] = first_wait("nonPreemptive", "byCount")
     out["topNonPreemptWaitByDuration"] = first_wait("nonPreemptive", "byDuration")

@@ -137,6 +137,10 @@ COMPONENT_QUERY = _component(
     "SH_sp_svr_diag_query", "QUERY_PROCESSING", components.query_processing(), components.QUERY_PAYLOAD
 )
 
+PENDING_REQUESTS = components.pending_requests("SH_pending_requests", COMPONENT_IO)
+TOP_WAITS = components.top_waits("SH_top_waits", COMPONENT_QUERY)
+CPU_REQUESTS = components.cpu_requests("SH_cpu_requests", COMPONENT_QUERY)
+
 CONNECTIVITY = _table(
     "SH_connect_RB",
     "connectivity_ring_buffer_recorded",

@@ -11,14 +11,17 @@ from eventloom.operators.lookup import join_on
 from eventloom.operators.publish import apply_changes
 from eventloom.operators.shred import shred
 from eventloom.plans import replication, waits
+from eventloom.plans.health_log import event_summary, version_seed
+from eventloom.sources.capture_files import read_captures
+from eventloom.sources.tables import save_raw
 from eventloom.tables import cluster_diagnostics as sd
 from eventloom.tables.health_log import ERROR_REPORTED
 from tests.helpers import component, data, event, raw, ring
 
 OWN = [n for n in entry.queries() if n not in entry.LLM_QUERIES]
 # These write files or run a stream when they are built: a few of them stand for the rest.
-WRITING = {n for n in OWN if re.search("stream|stored|reloaded|published|events_from|saved|accounted|raw_layer|event_summary|guarded", n)}
-WRITING -= {"stored_parsed_layer", "ring_security_stream", "accounted_cluster_log", "published_columns", "event_summary"}
+WRITING = {n for n in OWN if re.search("stream|stored|reloaded|published|events_from|saved|accounted|raw_layer|guarded|document|ledger|switched|bucketed|resolved", n)}
+WRITING -= {"stored_parsed_layer", "ring_security_stream", "accounted_cluster_log", "published_columns"}
 
 
 def plan(df) -> str:
@@ -167,3 +170,38 @@ def test_guard_reads_names_only(spark, tmp_path):
     raw(spark, ("error_reported", "<event/>")).write.parquet(str(tmp_path / "r"))
     names = spark.read.parquet(str(tmp_path / "r")).where(F.col("object_name").isin("error_reported")).select("object_name").distinct()
     assert "ReadSchema: struct<object_name:string>" in plan(names)
+
+
+def test_event_summary_reads_no_event_text(spark, sf_dir, tmp_path):
+    """Counts of a log as it is, and of a stored layer, whose event names are partitions."""
+    for name in ("event_summary", "event_summary_before_version_12", "event_summary_of_declared_events"):
+        text = entry.queries()[name](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+        assert "<event" not in text and "<data" not in text
+    stored = save_raw(raw(spark, ("a", event("a", "")), ("b", event("b", ""))), str(tmp_path / "raw"))
+    text = plan(event_summary(stored, version_seed(stored, 12)))
+    assert "ReadSchema: struct<>" in text and "event_data" not in text
+
+
+def test_parse_tasks_of_a_stored_log_are_bounded_by_events(spark, tmp_path):
+    """Text that shrinks a hundred times in its file still makes many tasks, of a bounded number of events."""
+    rows = spark.range(0, 40_000, 1, 1).selectExpr("'e' AS object_name", "repeat('<event name=\"e\"/>', 20) AS event_data", "'f' AS file_name", "id AS file_offset")
+    stored = save_raw(rows, str(tmp_path / "raw"), events_a_file=1_000)
+    tasks = [r["count"] for r in stored.where("object_name = 'e'").groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert sum(tasks) == 40_000 and len(tasks) >= 8 and max(tasks) <= 32 * 1_000
+    by_file = stored.groupBy(F.input_file_name().alias("f")).count().agg(F.max("count")).first()[0]
+    assert by_file <= 1_000
+
+
+def test_resolved_captures_prune_files(spark, tmp_path):
+    events = raw(spark, ("a", event("a", ""))).drop("file_name")
+    for folder in ("AlwaysOn_health_0_1", "alwayson_HEALTH_0_22", "AlwaysOn_health_x_0_1", "system_health_0_1"):
+        events.write.parquet(str(tmp_path / folder))
+    files = spark.createDataFrame([("D:\\Log\\AlwaysOn_health_0_133.xel",), (None,)], "target_file string")
+    found = read_captures(spark, f"{tmp_path}/*", files)
+    assert {r.file_name.split("/")[-2] for r in found.collect()} == {"AlwaysOn_health_0_1", "alwayson_HEALTH_0_22"}
+    execution = found._jdf.queryExecution()
+    execution.executedPlan().executeCollect()
+    scan = re.search(r"FileScan", execution.executedPlan().toString())
+    leaves = execution.executedPlan().collectLeaves()
+    assert scan and sum(leaves.apply(i).metrics().apply("numFiles").value() for i in range(leaves.length())) == 2
+    assert read_captures(spark, f"{tmp_path}/*", files.limit(0)).count() == 0
