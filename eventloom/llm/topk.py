@@ -10,9 +10,11 @@ is a list of its own: stored apart, in blocks of rows. For each query
 3. what an entry's row lacks of its score is looked up in the other lists, and the rows are ranked.
 
 Queries are taken in passes of at most `PASS` rows, which bounds what a pass broadcasts; candidates
-are met in blocks of at most `BLOCK` rows, which bounds what a task holds. Rows with equal vectors
-tie everywhere, so only the k + 1 with the smallest ids, the most that any query can return, enter
-the lists. Arithmetic is exact: doubles hold the sums where they are below 2**53, else 64-bit integers.
+are met in blocks of at most `BLOCK` rows, which bounds what a task holds. A task keeps the best of all its
+blocks, and a pass's result is written before the next one begins. Rows with equal vectors tie
+everywhere, so only the 2k with the smallest ids, of one id the k first, enter the lists: no query can
+return others. Arithmetic is exact: doubles hold the sums where they are below 2**53, 64-bit integers
+below 2**63, Python's integers beyond; a score that a long cannot hold is an error.
 """
 
 from __future__ import annotations
@@ -29,21 +31,23 @@ from pyspark.sql import functions as F
 from eventloom.llm.storage import stored
 
 LISTS, BLOCK, PASS, TILE = 2, 4096, 16_384, 512
-#: Below any score: components stay under 2**25 after scaling, so 4,096 of them stay under 2**62.
-LIMIT, LOW = 2**25, -(2**62)
+#: Below any score.
+LOW = -(2**63)
 
 
 def quantised(rows: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", factor: int = 256) -> DataFrame:
     """(vec_id, v array<long>): floor(factor * component), components as doubles.
 
-    Null ids take no part, nor do vectors that are null or hold null, NaN or infinite components, or
-    a component of LIMIT or more after scaling, whose scores a long may not hold. Of rows with equal
-    ids the one with the smallest vector counts. Vectors of other lengths are padded with zeros.
+    Null ids take no part, nor do vectors that are null or hold null, NaN or infinite components. Rows
+    with equal ids are rows of their own. Vectors of other lengths are padded with zeros. A finite
+    component that a long cannot hold after scaling is an error.
     """
-    x = rows.select(rows[vec_id].cast("long").alias("vec_id"), F.transform(rows[vector], lambda c: F.floor(c.cast("double") * factor)).alias("v"), F.transform(rows[vector], lambda c: c.cast("double") * factor).alias("d"))
-    fine = F.forall("d", lambda c: F.coalesce(F.abs(c) < LIMIT, F.lit(False)))
-    x = x.where(F.col("vec_id").isNotNull() & F.col("d").isNotNull()).where(fine)
-    return x.groupBy("vec_id").agg(F.min("v").alias("v"))
+    whole = lambda x: F.when(F.abs(x) < 2.0**63, F.floor(x)).otherwise(F.raise_error(F.lit("a component is too large for a long")).cast("long"))
+    x = rows.select(rows[vec_id].cast("long").alias("vec_id"), F.transform(rows[vector], lambda c: c.cast("double")).alias("d"))
+    fine = F.forall("d", lambda c: F.coalesce(F.abs(c) < float("inf"), F.lit(False)))  # NaN is above
+    # a condition of its own for each row, so that no component of a row left out is looked at
+    v = F.when(F.col("vec_id").isNotNull() & fine, F.transform("d", lambda c: whole(c * factor)))
+    return x.select("vec_id", v.alias("v")).where("v IS NOT NULL")
 
 
 def _packed(lists: int, width: int, block: int):
@@ -51,7 +55,7 @@ def _packed(lists: int, width: int, block: int):
     cuts = [width * i // lists for i in range(lists + 1)]
 
     def pack(ids: list, rows: list, name: int) -> pa.RecordBatch:
-        m = np.zeros((len(rows), width), "<i4")
+        m = np.zeros((len(rows), width), "<i8")
         for i, r in enumerate(rows):
             m[i, : len(r)] = r
         packed = np.array(ids, "<i8").tobytes()
@@ -87,17 +91,43 @@ class Queries:
         cuts = [width * i // lists for i in range(lists + 1)]
         self.on = [np.ascontiguousarray(m[:, cuts[j] : cuts[j + 1]]) for j in range(lists)]
 
-    def scores(self, which: int, lo: int, hi: int, values: np.ndarray) -> np.ndarray:
-        """Local scores, exact, of queries lo to hi against a block's rows."""
-        q = self.on[which][lo:hi]
-        if values.shape[1] * int(np.abs(q).max(initial=0)) * int(np.abs(values.astype(np.int64)).max(initial=0)) < 2**53:
-            return (q.astype(float) @ values.astype(float).T).astype(np.int64)
-        return q @ values.astype(np.int64).T
+    def scores(self, which: int, lo: int, hi: int, ids: np.ndarray, values: np.ndarray) -> np.ndarray:
+        """Local scores, exact, of queries lo to hi against a block's rows; LOW for rows of the query's id."""
+        own = self.ids[lo:hi, None] == ids[None, :]
+        return _exact(self.on[which][lo:hi], values, lambda a, b: a @ b.T, own)
+
+    def some_scores(self, which: int, query: np.ndarray, values: np.ndarray) -> np.ndarray:
+        """Local scores of a query and a row at a time."""
+        return _exact(self.on[which][query], values, lambda a, b: (a * b).sum(axis=1))
+
+
+def _largest(m: np.ndarray) -> int:
+    return max(int(m.max(initial=0)), -int(m.min(initial=0)))
+
+
+def _exact(a: np.ndarray, b: np.ndarray, product, none: np.ndarray | None = None) -> np.ndarray:
+    """A product of integer matrices in the cheapest arithmetic that is exact, LOW where `none` holds.
+
+    A product that a long cannot hold is an error, but for those left out.
+    """
+    bound = a.shape[1] * _largest(a) * _largest(b)
+    if bound < 2**53:
+        found = product(a.astype(float), b.astype(float)).astype(np.int64)
+    elif bound < 2**63:
+        found = product(a, b)
+    else:
+        found = product(a.astype(object), b.astype(object))
+        held = found if none is None else found[~none]
+        if held.size and not (held.min() > LOW and held.max() < 2**63):
+            raise OverflowError("a score is too large for a long")
+    if none is not None:
+        found[none] = LOW
+    return found.astype(np.int64)
 
 
 def _block(batch: pa.RecordBatch, i: int) -> tuple[int, int, np.ndarray, np.ndarray]:
     ids = np.frombuffer(batch.column("ids")[i].as_py(), "<i8")
-    values = np.frombuffer(batch.column("values")[i].as_py(), "<i4").reshape(len(ids), -1)
+    values = np.frombuffer(batch.column("values")[i].as_py(), "<i8").reshape(len(ids), -1)
     return batch.column("block")[i].as_py(), batch.column("list")[i].as_py(), ids, values
 
 
@@ -116,23 +146,27 @@ def _best(score: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
 
 
 def _gather(shared, k: int):
-    """Phase 1: each query's k best rows of a block on a list: (query, block, place, score)."""
+    """Phase 1: each query's k best rows on a list in a task's blocks: (query, list, block, place, score)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         queries: Queries = shared.value
+        best: dict[int, np.ndarray] = {}  # by list: scores, blocks and places of k rows a query
         for batch in batches:
             for i in range(batch.num_rows):
                 block, which, ids, values = _block(batch, i)
+                if which not in best:
+                    best[which] = np.full((3, len(queries.ids), k), LOW)
                 for lo in range(0, len(queries.ids), TILE):
-                    own = queries.ids[lo : lo + TILE]
-                    s = queries.scores(which, lo, lo + TILE, values)
-                    s[own[:, None] == ids[None, :]] = LOW
+                    s = queries.scores(which, lo, lo + TILE, ids, values)
                     n = min(k, len(ids))
-                    at = np.argpartition(-s, n - 1, axis=1)[:, :n]
-                    s = np.take_along_axis(s, at, axis=1)
-                    q = np.repeat(np.arange(lo, lo + len(own)), n)
-                    real = s.ravel() != LOW
-                    yield _rows(["query", "list", "block", "place", "score"], [q[real], np.full(real.sum(), which, np.int32), np.full(real.sum(), block), at.ravel()[real], s.ravel()[real]])
+                    at = np.argpartition(s, len(ids) - n, axis=1)[:, len(ids) - n :]
+                    new = np.stack([np.take_along_axis(s, at, axis=1), np.full(at.shape, block), at])
+                    held = np.concatenate([best[which][:, lo : lo + TILE], new], axis=2)
+                    most = np.argpartition(held[0], n, axis=1)[:, n:]
+                    best[which][:, lo : lo + TILE] = np.take_along_axis(held, most[None], axis=2)
+        for which, (s, block, at) in best.items():
+            q, col = np.nonzero(s != LOW)
+            yield _rows(["query", "list", "block", "place", "score"], [q, np.full(len(q), which, np.int32), block[q, col], at[q, col], s[q, col]])
 
     return run
 
@@ -147,7 +181,7 @@ def _totals(shared, wanted):
                 block, which, _, values = _block(batch, i)
                 lo, hi = np.searchsorted(blocks, block), np.searchsorted(blocks, block, "right")
                 q, p = query[lo:hi], place[lo:hi]
-                s = np.einsum("ij,ij->i", queries.on[which][q], values[p].astype(np.int64))
+                s = queries.some_scores(which, q, values[p])
                 yield _rows(["query", "block", "place", "score"], [q, np.full(len(q), block), p, s])
 
     return run
@@ -163,9 +197,9 @@ def _entries(shared, cutoffs, lists: int):
                 block, which, ids, values = _block(batch, i)
                 for lo in range(0, len(queries.ids), TILE):
                     own = queries.ids[lo : lo + TILE]
-                    s = queries.scores(which, lo, lo + TILE, values)
-                    # s * lists >= cutoff, without leaving 64 bits
-                    reached = (s >= -(-cutoff[lo : lo + TILE] // lists)[:, None]) & (own[:, None] != ids[None, :])
+                    s = queries.scores(which, lo, lo + TILE, ids, values)
+                    least = cutoff[lo : lo + TILE] // lists + (cutoff[lo : lo + TILE] % lists != 0)  # s * lists >= cutoff, within 64 bits
+                    reached = (s >= least[:, None]) & (own[:, None] != ids[None, :])
                     q, p = np.nonzero(reached)
                     if len(q):
                         data = np.stack([q + lo, p, s[q, p]]).astype("<i8").tobytes()
@@ -210,7 +244,7 @@ def _resolve(shared, which: int):
                 lack = np.flatnonzero(seen & (1 << which) == 0)
                 for lo in range(0, len(lack), 65_536):
                     some = lack[lo : lo + 65_536]
-                    s[some] += np.einsum("ij,ij->i", queries.on[which][q[some]], values[p[some]].astype(np.int64))
+                    s[some] += queries.some_scores(which, q[some], values[p[some]])
                 yield _rows(["block", "tile", "data"], [np.array([block]), np.array([batch.column("tile")[i].as_py()]), np.array([np.stack([q, p, s, seen]).tobytes()], object)])
 
     return run
@@ -256,38 +290,49 @@ def _cutoffs(gathered: DataFrame, blocks: DataFrame, shared, n_queries: int, k:
 def top_k(vectors: DataFrame, is_query, k: int = 5, lists: int = LISTS, block: int = BLOCK, per_pass: int = PASS) -> DataFrame:
     """(query_id, rank, vec_id, score): the k best rows of `vectors(vec_id, v array<long>)` for each query.
 
-    is_query: column expression that picks the queries; a query's own row is no candidate of it. Ties
-    go to the smaller vec_id; fewer candidates give fewer rows. `vectors` has one row an id, see
-    `quantised`.
+    is_query: column expression that picks the queries; rows with the query's id are no candidates of it.
+    Ties go to the smaller vec_id; fewer candidates give fewer rows. Rows that share an id are candidates
+    of their own, and as queries are answered together.
     """
-    spark, sc = vectors.sparkSession, vectors.sparkSession.sparkContext
-    vectors = stored(vectors, "vectors")
-    width = vectors.agg(F.max(F.size("v"))).first()[0] or 0
-    equal = Window.partitionBy("v").orderBy("vec_id")
-    useful = vectors.withColumn("n", F.row_number().over(equal)).where(F.col("n") <= k + 1).select("vec_id", "v")
-    blocks = stored(useful.mapInArrow(_packed(lists, width, block), SHAPE), "lists")
+    spark = vectors.sparkSession
+    vectors = stored(vectors.withColumn("row", F.monotonically_increasing_id()), "vectors")
+    size = F.aggregate("v", F.lit(0.0), lambda a, c: F.greatest(a, F.abs(c.cast("double"))))
+    n, width, largest = vectors.agg(F.count("*"), F.max(F.size("v")), F.max(size)).first()
+    if (width or 0) * (largest or 0) ** 2 >= 2.0**62:
+        lists = 1  # parts of a score could leave a long that the score does not leave
+    of_id, equal = Window.partitionBy("v", "vec_id").orderBy("row"), Window.partitionBy("v").orderBy("vec_id", "row")
+    useful = vectors.withColumn("n", F.row_number().over(of_id)).where(F.col("n") <= k).withColumn("n", F.row_number().over(equal)).where(F.col("n") <= 2 * k)
+    # no more tasks than whole blocks
+    useful = useful.select("vec_id", "v").coalesce(max(1, n // block))
+    blocks = stored(useful.mapInArrow(_packed(lists, width or 0, block), SHAPE), "lists")
     asked = vectors.where(is_query)
     found, last = [], None
     while True:
-        rest = asked if last is None else asked.where(F.col("vec_id") > last)
-        rows = [(r[0], r[1]) for r in rest.orderBy("vec_id").limit(per_pass).collect()]
+        rest = asked if last is None else asked.where((F.col("vec_id") > last[0]) | ((F.col("vec_id") == last[0]) & (F.col("row") > last[1])))
+        rows = [(r.vec_id, r.v, r.row) for r in rest.orderBy("vec_id", "row").limit(per_pass).collect()]
         if not rows:
             break
-        last = rows[-1][0]
-        queries = Queries(rows, width, lists)
-        shared = sc.broadcast(queries)
-        gathered = blocks.mapInArrow(_gather(shared, k), "query long, list int, block long, place long, score long")
-        cutoffs = sc.broadcast(_cutoffs(gathered, blocks, shared, len(rows), k))
-        entries = blocks.mapInArrow(_entries(shared, cutoffs, lists), "block long, tile long, seen long, data binary")
-        pending = entries.repartition("block", "tile").sortWithinPartitions("block", "tile").mapInArrow(_merge, "block long, tile long, data binary")
-        for which in range(lists):
-            joined = pending.join(blocks.where(F.col("list") == which), "block")
-            run = _resolve(shared, which)
-            pending = joined.mapInArrow(run, "block long, tile long, data binary")
-        named = pending.join(blocks.where(F.col("list") == 0).select("block", "ids"), "block")
-        found.append(named.mapInArrow(_ranked(shared, k), "query_id long, vec_id long, score long"))
+        last = (rows[-1][0], rows[-1][2])
+        found.append(stored(_pass(blocks, Queries(rows, width, lists), k, lists), "found"))
     if not found:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = reduce(DataFrame.union, found).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
+
+
+def _pass(blocks: DataFrame, queries: Queries, k: int, lists: int) -> DataFrame:
+    """(query_id, vec_id, score): the k best rows of a pass's queries, out of the blocks' own k best."""
+    sc = blocks.sparkSession.sparkContext
+    shared = sc.broadcast(queries)
+    gathered = blocks.mapInArrow(_gather(shared, k), "query long, list int, block long, place long, score long")
+    cutoffs = sc.broadcast(_cutoffs(gathered, blocks, shared, len(queries.ids), k))
+    entries = blocks.mapInArrow(_entries(shared, cutoffs, lists), "block long, tile long, seen long, data binary")
+    pending = entries.repartition("block", "tile").sortWithinPartitions("block", "tile").mapInArrow(_merge, "block long, tile long, data binary")
+    for which in range(lists):
+        joined = pending.join(blocks.where(F.col("list") == which), "block")
+        pending = joined.mapInArrow(_resolve(shared, which), "block long, tile long, data binary")
+    named = pending.join(blocks.where(F.col("list") == 0).select("block", "ids"), "block")
+    ranked = named.mapInArrow(_ranked(shared, k), "query_id long, vec_id long, score long")
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    return ranked.withColumn("n", F.row_number().over(order)).where(F.col("n") <= k).drop("n")

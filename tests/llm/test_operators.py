@@ -52,26 +52,30 @@ def test_components(spark):
 
 
 def brute_top_k(rows, is_query, k):
-    out = set()
-    for q, v in rows.items():
-        if is_query(q):
-            scored = sorted(((sum(a * b for a, b in zip(v, w)), -c) for c, w in rows.items() if c != q), reverse=True)[:k]
-            out |= {(q, n, -c, s) for n, (s, c) in enumerate(scored, 1)}
+    """Rows (id, vector), whose ids may repeat, as the contract has it: joined where ids differ, ranked by query id."""
+    out = Counter()
+    for q in {i for i, _ in rows if is_query(i)}:
+        asked = [v for i, v in rows if i == q]
+        scored = sorted(((sum(a * b for a, b in zip(v, w)), -c) for v in asked for c, w in rows if c != q), reverse=True)[:k]
+        out.update((q, n, -c, s) for n, (s, c) in enumerate(scored, 1))
     return out
 
 
-@pytest.mark.parametrize("block,per_pass,lists", [(16, 3, 2), (64, 100, 3)])
+def whole(v):
+    return [int(np.floor(256 * np.float64(np.float32(x)))) for x in v]
+
+
+@pytest.mark.parametrize("block,per_pass,lists", [(16, 3, 2), (64, 100, 3), (16, 2, 1)])
 def test_top_k(spark, block, per_pass, lists):
     rng = np.random.default_rng(1)
     vectors = {i: rng.normal(size=8).tolist() for i in range(150)}
     for i in range(40, 90):
         vectors[i] = vectors[40]  # a third are equal
-    rows = [(i, v, 0, 1) for i, v in vectors.items()]
-    bad = [(900, None, 0, 1), (910, [None] * 8, 0, 1), (920, [float("nan")] * 8, 0, 1), (930, [float("inf")] * 8, 0, 1), (None, [1.0] * 8, 0, 1), rows[0]]
-    df = spark.createDataFrame(rows + bad, "vec_id long, embedding array<float>, block int, query int")
-    whole = {i: [int(np.floor(256 * np.float64(np.float32(x)))) for x in v] for i, v in vectors.items()}
+    rows = [*vectors.items(), *[(0, vectors[0])] * 2, (40, vectors[7]), *[(50, vectors[40])] * 9, (10, [1.0] * 3)]  # ids that repeat
+    bad = [(900, None), (910, [None] * 8), (920, [float("nan")] * 8), (930, [float("inf")] * 8), (None, [1.0] * 8)]
+    df = spark.createDataFrame([(i, v, 0, 1) for i, v in rows + bad], "vec_id long, embedding array<float>, block int, query int")
     found = topk.top_k(topk.quantised(df), F.col("vec_id") % 10 == 0, 5, lists, block, per_pass)
-    assert {tuple(r) for r in found.collect()} == brute_top_k(whole, lambda i: i % 10 == 0, 5)
+    assert Counter(map(tuple, found.collect())) == brute_top_k([(i, whole(v)) for i, v in rows], lambda i: i % 10 == 0, 5)
 
 
 def test_top_k_small(spark):
@@ -84,6 +88,24 @@ def test_top_k_small(spark):
     assert topk.top_k(topk.quantised(large), F.col("vec_id") == 0).first().score == sum(a * b for a, b in zip(v, v[:15] + [256]))
 
 
+def test_top_k_of_large_components(spark):
+    """Every finite vector takes part, whatever its size, in exact integers; only what no long can hold is an error."""
+    shape = "vec_id long, embedding array<double>"
+    rows = [(0, [1.0, 2.0]), (50, [-3.0, 140000.0]), (1, [140000.0, 1.0]), (2, [1.5, 1.5]), (2, [9.0, -9.0]), (3, [2.0**25 + 3, -(2.0**25)]), (4, [2.0**24 + 1, -(2.0**24)])]
+    integers = [(i, [int(np.floor(256 * x)) for x in v]) for i, v in rows]
+    df = spark.createDataFrame(rows, shape)
+    assert Counter(map(tuple, topk.top_k(topk.quantised(df), F.col("vec_id") % 50 == 0).collect())) == brute_top_k(integers, lambda i: i % 50 == 0, 5)
+    # parts of these scores leave a long, the scores do not
+    far = [(0, [2.0**25, 2.0**25, 1.0]), (1, [2.0**25, -(2.0**25), 3.0]), (2, [-(2.0**25), 2.0**25, 5.0])]
+    got = topk.top_k(topk.quantised(spark.createDataFrame(far, shape)), F.col("vec_id") == 0, 1)
+    assert Counter(map(tuple, got.collect())) == Counter([(0, 1, 2, 5 * 256 * 256)])
+    over = spark.createDataFrame([(0, [2.0**24] * 3), (1, [2.0**24] * 3)], shape)
+    with pytest.raises(Exception, match="too large for a long"):
+        topk.top_k(topk.quantised(over), F.lit(True)).collect()
+    with pytest.raises(Exception, match="too large for a long"):
+        topk.quantised(spark.createDataFrame([(0, [1e300])], shape)).collect()
+
+
 # ---- 2 token files
 
 
