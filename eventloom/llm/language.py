@@ -22,8 +22,8 @@ from eventloom.llm.storage import stored
 
 #: N-grams of a profile; documents of a language that profiles are learned from at most.
 SIZE, OF_LANGUAGE = 400, 2_000
-#: Rows of the broadcast profile table at most: 2,500 languages.
-MOST_ROWS = 1_000_000
+#: Languages whose profiles are broadcast together; more are compared in turn.
+TOGETHER = 2_500
 
 
 @lru_cache(maxsize=1)
@@ -70,13 +70,10 @@ def fit(docs: DataFrame, learnable, doc_id: str = "doc_id", text: str = "text",
     counted = with_texts(docs, chosen, doc_id, text).select("lang", F.col("text").cast("string")).mapInArrow(run, "lang string, gram long, n long")
     counted = counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     order = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
-    top = counted.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= size).select("lang", "gram", "rank").limit(MOST_ROWS + 1).toArrow()
-    if top.num_rows > MOST_ROWS:
-        raise ValueError("more languages than profiles can be broadcast for")
-    profiles: dict[str, list] = {}
-    for name, gram, rank in zip(*(top.column(c).to_pylist() for c in ("lang", "gram", "rank"))):
-        profiles.setdefault(name, []).append((rank, gram))
-    return {name: [g for _, g in sorted(own)] for name, own in sorted(profiles.items())}
+    top = counted.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= size)
+    listed = top.groupBy("lang").agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", "gram"))), lambda x: x["gram"]).alias("grams"))
+    # a row a language, of `size` numbers: it grows with the languages, not with the documents
+    return dict(sorted((r.lang, r.grams) for r in listed.toLocalIterator()))
 
 
 class Profiles:
@@ -87,29 +84,52 @@ class Profiles:
         for j, p in enumerate(profiles.values()):
             self.rank[np.searchsorted(self.keys, np.array(p, np.int64)), j] = np.arange(len(p))
 
-    def nearest(self, text: str | None) -> tuple[str, float]:
-        """(language, share of the closeness); ties to the first name; `und` without letters or profiles."""
+    def closeness(self, text: str | None) -> np.ndarray | None:
+        """How near each language is, 0 for nothing in common; None without letters."""
         own = ranked(*grams(text), self.size)
-        if not len(own) or not self.names:
-            return "und", 0.0
+        if not len(own):
+            return None
         at = np.searchsorted(self.keys, own)
         at[self.keys[np.minimum(at, len(self.keys) - 1)] != own] = len(self.keys)
         rank = self.rank[at]
         away = np.where(rank < 0, self.size, np.abs(rank - np.arange(len(own))[:, None])).sum(axis=0)
-        near = self.size * len(own) - away
+        return self.size * len(own) - away
+
+    def nearest(self, text: str | None) -> tuple[str | None, int, int]:
+        """(language, its closeness, the sum of all languages' closeness); ties to the first name."""
+        near = self.closeness(text) if self.names else None
+        if near is None:
+            return None, 0, 0
         best = int(near.argmax())
-        return self.names[best], float(near[best] / near.sum()) if near.sum() else 1 / len(near)
+        return self.names[best], int(near[best]), int(near.sum())
 
 
-def identify(docs: DataFrame, profiles: dict[str, list[int]], keep: list[str], text: str = "text", size: int = SIZE) -> DataFrame:
-    """The columns `keep` as a struct `row`, lang_pred string, score double."""
-    shared = docs.sparkSession.sparkContext.broadcast(profiles)  # MOST_ROWS grams at most
+def identify(docs: DataFrame, profiles: dict[str, list[int]], keep: list[str], text: str = "text", size: int = SIZE, together: int = TOGETHER) -> DataFrame:
+    """The columns `keep` as a struct `row`, lang_pred string, score double: the share of the closeness to all languages.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Profiles(shared.value, size)
-        for batch in batches:
-            found = [known.nearest(t.as_py()) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x for x, _ in found], pa.string()), pa.array([s for _, s in found], pa.float64())], names=["row", "lang_pred", "score"])
-
-    source = docs.select(F.struct(*[docs[c] for c in keep]).alias("row"), docs[text].alias("text"))
-    return source.mapInArrow(run, source.select("row", F.lit("").alias("lang_pred"), F.lit(0.0).alias("score")).schema)
+    Ties go to the first name; `und` with score 0 without letters or profiles. Up to `together`
+    profiles are broadcast at once; a table of more languages is compared part by part, in one pass
+    over the documents, and the best of all parts counts.
+    """
+    sc, names = docs.sparkSession.sparkContext, list(profiles)
+    parts = [{n: profiles[n] for n in names[lo : lo + together]} for lo in range(0, len(names), together)] or [{}]
+
+    def compared(shared):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            known = Profiles(shared.value, size)
+            for batch in batches:
+                name, near, total = (batch.column(i).to_pylist() for i in (2, 3, 4))
+                for i, t in enumerate(batch.column(1)):
+                    own, n, s = known.nearest(t.as_py())
+                    total[i] += s
+                    if own is not None and (name[i] is None or n > near[i]):
+                        name[i], near[i] = own, n
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(name, pa.string()), pa.array(near, pa.int64()), pa.array(total, pa.int64())], names=batch.schema.names)
+
+        return run
+
+    out = docs.select(F.struct(*[docs[c] for c in keep]).alias("row"), docs[text].alias("text"), F.lit(None).cast("string").alias("name"), F.lit(0).cast("long").alias("near"), F.lit(0).cast("long").alias("total"))
+    for part in parts:
+        out = out.mapInArrow(compared(sc.broadcast(part)), out.schema)
+    share = F.when(F.col("name").isNull(), 0.0).when(F.col("total") == 0, 1.0 / max(1, len(names))).otherwise(F.col("near") / F.col("total"))
+    return out.select("row", F.coalesce("name", F.lit("und")).alias("lang_pred"), share.alias("score"))

@@ -14,6 +14,7 @@ text exactly.
 
 from __future__ import annotations
 
+import hashlib
 import re
 import struct
 from collections.abc import Iterator
@@ -25,8 +26,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from eventloom.llm.words import kept
+
 MARK = "▁"
-#: Chunks that each of a task's two generations of remembered ones holds; characters of a chunk that
+#: Chunks that each of a worker's two generations of remembered ones holds; characters of a chunk that
 #: is segmented with others; characters of the texts that are encoded together.
 REMEMBERED, SHORT, TOGETHER = 100_000, 48, 400_000
 
@@ -259,9 +262,10 @@ def round_trips(docs: DataFrame, model: dict, doc_id: str = "doc_id", text: str
     do not leave the task.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    key = "pieces " + hashlib.sha256(repr((model["pieces"], model["bytes"], model["written"])).encode()).hexdigest()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, decoder = Encoder(shared.value), Decoder(shared.value["written"])
+        encoder, decoder = kept(key, lambda: (Encoder(shared.value), Decoder(shared.value["written"])))
         for batch in batches:
             for rows, texts, ids in _encoded(encoder, batch):
                 decoded = decoder.decode_many(ids.values.to_numpy(), ids.offsets.to_numpy()[1:])

@@ -16,8 +16,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from eventloom.llm.samples import first_of_each, with_texts
+from eventloom.llm.samples import first_of_each, with_texts, within
 from eventloom.llm.storage import stored
 from eventloom.llm.toxicity import sigmoid
 from eventloom.llm.words import flat
@@ -25,6 +26,8 @@ from eventloom.llm.words import flat
 BITS = 18
 #: Bound of the training sample: documents of each grade.
 OF_GRADE = 3_000
+#: And features of all its documents, 16 bytes each, which go to the driver.
+PAIRS = 4_000_000
 
 
 def features(text: bytes | None, known: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
@@ -77,8 +80,9 @@ def fit_rows(rows: list[tuple[np.ndarray, np.ndarray]], grades: np.ndarray, step
     return w, cut[0] + np.append(0, np.cumsum(np.exp(cut[1:])))
 
 
-def fit(docs: DataFrame, graded: DataFrame, doc_id: str = "doc_id", text: str = "text", of_grade: int = OF_GRADE) -> tuple[np.ndarray, np.ndarray]:
-    """(weights, thresholds) from `graded(doc_id, grade int from 0)`, at most `of_grade` documents a grade.
+def fit(docs: DataFrame, graded: DataFrame, doc_id: str = "doc_id", text: str = "text", of_grade: int = OF_GRADE, pairs: int = PAIRS) -> tuple[np.ndarray, np.ndarray]:
+    """(weights, thresholds) from `graded(doc_id, grade int from 0)`, at most `of_grade` documents a grade, and of these
+    as many as have `pairs` features together.
 
     Null ids and null grades are not learned from; of two grades of an id the higher counts.
     """
@@ -89,11 +93,13 @@ def fit(docs: DataFrame, graded: DataFrame, doc_id: str = "doc_id", text: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[bytes, int] = {}
         for batch in batches:
-            found = [features(t.as_py(), known) for t in batch.column(1)]
-            arrays = [batch.column(0), pa.array([i for i, _ in found], pa.list_(pa.int64())), pa.array([v for _, v in found], pa.list_(pa.float64()))]
-            yield pa.RecordBatch.from_arrays(arrays, names=["grade", "index", "value"])
+            found = [features(t.as_py(), known) for t in batch.column(2)]
+            arrays = [batch.column(0), batch.column(1), pa.array([i for i, _ in found], pa.list_(pa.int64())), pa.array([v for _, v in found], pa.list_(pa.float64()))]
+            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "grade", "index", "value"])
 
-    table = with_texts(docs, chosen, doc_id, text).select("grade", "text").mapInArrow(run, "grade int, index array<long>, value array<double>").toArrow()
+    texts = with_texts(docs, chosen, doc_id, text).select("doc_id", "grade", "text")
+    kind = T.StructType([texts.schema["doc_id"], *T._parse_datatype_string("grade int, index array<long>, value array<double>").fields])
+    table = within(stored(texts.mapInArrow(run, kind), "features"), F.size("index"), pairs).select("doc_id", "grade", "index", "value").toArrow().sort_by("doc_id")
     rows = [(i.values.to_numpy(), v.values.to_numpy()) for i, v in zip(table.column("index"), table.column("value"))]
     return fit_rows(rows, table.column("grade").to_numpy().astype(np.int64))
 

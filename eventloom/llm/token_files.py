@@ -20,6 +20,7 @@ is over 4-byte ids in either case. A null document id is written as the smallest
 
 from __future__ import annotations
 
+import hashlib
 import re
 import struct
 import zlib
@@ -33,12 +34,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from eventloom.llm.words import kept
+
 ENTRY, FOOTER, HEAD = "<qQIQI", "<QIBBI", "<II"
 ENTRY_SIZE, FOOTER_SIZE = struct.calcsize(ENTRY), struct.calcsize(FOOTER)
 GAP_MAGIC, TABLE_MAGIC, FOOTER_MAGIC, VERSION = 0x184D2A50, 0x184D2A5E, 0x53454B54, 1
 GAP = struct.pack(HEAD, GAP_MAGIC, 0)
 NO_ID = -(2**63)
-#: Distinct words that each of a task's two generations of remembered ids holds.
+#: Distinct words that each of a worker's two generations of remembered ids holds.
 REMEMBERED = 120_000
 
 
@@ -66,14 +69,14 @@ class WordIds:
     when the younger is full. Tokenizers that keep white space encode whole texts instead.
     """
 
-    def __init__(self, definition: str, by_word: bool = True):
+    def __init__(self, definition: str, by_word: bool = True, plain: bool = False):
         import os
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer, self.by_word = Tokenizer.from_str(definition), by_word
-        self.model, self.plain = self.tokenizer.model, False
+        self.model, self.plain = self.tokenizer.model, plain
         self.byte_names = byte_names()
         self.dtype = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
         self.known: dict[bytes, bytes] = {}
@@ -123,11 +126,11 @@ def write_token_files(docs: DataFrame, path: str, definition: str, end_id: int,
     else Spark's number of partitions. Other columns are not looked at.
     """
     by_word, plain = shortcuts(definition)
+    key = hashlib.sha256(f"{by_word} {plain} {definition}".encode()).hexdigest()
     shared = docs.sparkSession.sparkContext.broadcast(definition)  # the vocabulary's size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordIds(shared.value, by_word)
-        words.plain = plain
+        words = kept(f"words {key}", lambda: WordIds(shared.value, by_word, plain))
         end = np.array([end_id], words.dtype).tobytes()
         packer = zstandard.ZstdCompressor(level=3, write_checksum=True)
         entries, at = [], 0

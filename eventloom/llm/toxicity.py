@@ -22,13 +22,16 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from eventloom.llm.samples import first_by_hash, with_texts
+from eventloom.llm.samples import first_by_hash, with_texts, within
 from eventloom.llm.storage import stored
 from eventloom.llm.words import words_of
 
 #: Bounds of the training sample, in documents.
 POSITIVES, UNLABELLED = 4_000, 12_000
+#: And in features of all its documents, 8 bytes each, which go to the driver.
+HASHES = 8_000_000
 #: A feature's least positives and its least deviation, in standard errors, from the unlabelled rate.
 LEAST_POSITIVES, LEAST_DEVIATION, MOST_FEATURES = 3, 5.0, 5_000
 
@@ -41,11 +44,11 @@ def marks(text: bytes | None) -> set[bytes]:
 
 
 def word_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(kind, text) to (kind, hashes of its features)."""
+    """(doc_id, kind, text) to (doc_id, kind, hashes of its features)."""
     digest = xxhash.xxh64_intdigest
     for batch in batches:
-        found = [np.fromiter((digest(w) for w in marks(t.as_py())), dtype=np.uint64).view(np.int64) for t in batch.column(1)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int64()))], names=["kind", "words"])
+        found = [np.fromiter((digest(w) for w in marks(t.as_py())), dtype=np.uint64).view(np.int64) for t in batch.column(2)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.int64()))], names=["doc_id", "kind", "words"])
 
 
 def places(features: np.ndarray, row: np.ndarray) -> np.ndarray:
@@ -110,11 +113,11 @@ def fit_rows(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: fl
     return features, w[:-1], float(w[-1])
 
 
-def fit(docs: DataFrame, labels: DataFrame, learnable, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", prior: float | None = None, positives: int = POSITIVES, unlabelled: int = UNLABELLED) -> tuple[dict[int, float], float]:
+def fit(docs: DataFrame, labels: DataFrame, learnable, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", prior: float | None = None, positives: int = POSITIVES, unlabelled: int = UNLABELLED, hashes: int = HASHES) -> tuple[dict[int, float], float]:
     """(weights by word hash, bias), learned from rows for which `learnable(id column name)` holds.
 
     At most `positives` toxic and `unlabelled` further documents are read for training, both chosen
-    by a hash of the id. Labels other than 1 count only in the prior. Rows without an id are never
+    by a hash of the id, and of these as many as have `hashes` features together. Labels other than 1 count only in the prior. Rows without an id are never
     learned from; an id labelled twice counts as toxic if any of its labels says so.
     """
     known = labels.where(F.col(label).isNotNull()).groupBy(labels["doc_id"].alias("doc_id")).agg(F.max(label).alias("toxic")).where(learnable("doc_id"))
@@ -125,7 +128,9 @@ def fit(docs: DataFrame, labels: DataFrame, learnable, doc_id: str = "doc_id", t
     prior = prior if prior is not None else min(0.99, max(1e-4, (toxic or 0) / rows)) if rows else 1e-4
     chosen = first_by_hash(counted.where("toxic").select("doc_id"), positives).withColumn("kind", F.lit(1))
     chosen = chosen.unionByName(first_by_hash(ids, unlabelled, seed=8).withColumn("kind", F.lit(0)))
-    hashed = with_texts(docs, stored(chosen, "choice"), doc_id, text).select("kind", "text").mapInArrow(word_hashes, "kind int, words array<long>").toArrow()
+    texts = with_texts(docs, stored(chosen, "choice"), doc_id, text).select("doc_id", "kind", "text")
+    kind = T.StructType([texts.schema["doc_id"], *T._parse_datatype_string("kind int, words array<long>").fields])
+    hashed = within(stored(texts.mapInArrow(word_hashes, kind), "features"), F.size("words"), hashes).select("doc_id", "kind", "words").toArrow().sort_by([("doc_id", "ascending"), ("kind", "ascending")])
     kinds = hashed.column("kind").to_numpy()
     rows = [r.values.to_numpy() for r in hashed.column("words")]
     split = [[r for r, k in zip(rows, kinds) if k == want] for want in (1, 0)]

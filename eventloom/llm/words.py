@@ -16,3 +16,14 @@ def flat(text: bytes) -> bytes:
 def words_of(text: bytes | None) -> list[bytes]:
     """The words; a null text has none."""
     return text.translate(_KEPT).split() if text else []
+
+
+_WORKER: dict[str, object] = {}
+
+
+def kept(key: str, make):
+    """What `make` returns, kept by a Python worker from task to task: one object, so memory has the bound of one."""
+    if key not in _WORKER:
+        _WORKER.clear()
+        _WORKER[key] = make()
+    return _WORKER[key]
