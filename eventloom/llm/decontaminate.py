@@ -2,14 +2,18 @@
 
 The automaton accepts every run of words of every item. Documents are streamed through it and the
 length of the longest run that ends at each word is tracked; ten words, or a whole shorter item,
-make a hit. Items are taken in parts of at most `PART_WORDS` words, whose automaton is broadcast:
-that bound holds for any number of items, which only adds passes over the documents in one narrow
-job, without a shuffle.
+make a hit. Items are dealt out by hash in parts of about `PART_WORDS` words; a task builds each part's
+automaton, and they are written to the shared folder. At most `GROUP` of them are broadcast at a time,
+as the bytes they were written as, and a worker holds these. More parts take more passes over the
+documents: what each pass hits is written by text, and the passes' hits are joined to the documents.
+So no process ever holds more than a group, however many items there are.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
+import pickle
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -17,10 +21,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eventloom.llm.words import flat, words_of
+from eventloom.llm.storage import stored, whole_row
+from eventloom.llm.words import flat, kept, words_of
 
-#: Words of all items in one broadcast automaton; one longer item makes a part of its own.
-PART_WORDS = 200_000
+#: Words of the items of one automaton, give or take what a hash does and one long item; automata of a pass.
+PART_WORDS, GROUP = 200_000, 4
 
 
 class Automaton:
@@ -145,20 +150,56 @@ class Automaton:
                     spans.append([i + 1 - take, i + 1])
 
 
-def parts(items: DataFrame, item_id: str, text: str, part_words: int = PART_WORDS) -> Iterator[list[tuple]]:
-    """Items, streamed to the driver a part at a time, each of a bounded number of words."""
-    part, held = [], 0
-    rows = items.select(items[item_id].alias("item"), items[text].cast("binary").alias("text")).orderBy("item", "text")
-    for item, body in rows.toLocalIterator():
-        words = words_of(bytes(body)) if body is not None else []
-        if part and held + len(words) > part_words:
-            yield part
-            part, held = [], 0
-        if words:
-            part.append((item, words))
-            held += len(words)
-    if part:
-        yield part
+def automata(items: DataFrame, item_id: str = "item_id", item_text: str = "text", window: int = 10, part_words: int = PART_WORDS) -> DataFrame:
+    """(part, automaton binary): the items' automata, each built by a task; stored. None for no items.
+
+    Null and empty texts are no items; a null id is an empty one. Equal rows are taken once.
+    """
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.append_column("n", pa.array([len(words_of(t.as_py())) for t in batch.column(1)], pa.int64()))
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held = None, []
+
+        def built() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([at], pa.int64()), pa.array([pickle.dumps(Automaton(held, window), 5)], pa.binary())], names=["part", "automaton"])
+
+        for batch in batches:
+            for part, item, text in zip(*(batch.column(c).to_pylist() for c in ("part", "item", "text"))):
+                if held and part != at:
+                    yield built()
+                    held = []
+                at = part
+                held.append((item, words_of(text)))
+        if held:
+            yield built()
+
+    rows = items.select(F.coalesce(items[item_id].cast("string"), F.lit("")).alias("item"), items[item_text].cast("binary").alias("text"))
+    rows = stored(rows.distinct().mapInArrow(counted, "item string, text binary, n long").where("n > 0"), "items")
+    parts = max(1, math.ceil((rows.agg(F.sum("n")).first()[0] or 0) / part_words))
+    dealt = rows.withColumn("part", F.pmod(F.xxhash64("item", "text"), F.lit(parts)))
+    dealt = dealt.repartition(parts, "part").sortWithinPartitions("part", "item", "text")
+    return stored(dealt.mapInArrow(build, "part long, automaton binary"), "automata")
+
+
+class _Group:
+    """Some automata as a worker gets them: unpacked once, and kept from task to task."""
+
+    def __init__(self, rows: list):
+        self.packed = [bytes(r.automaton) for r in rows]
+        self.key = hashlib.sha256(b"".join(hashlib.sha256(p).digest() for p in self.packed)).hexdigest()
+
+    def unpacked(self) -> list[Automaton]:
+        return kept(f"automata {self.key}", lambda: list(map(pickle.loads, self.packed)))
+
+
+def _groups(built: DataFrame, group: int) -> Iterator:
+    """Broadcasts of the automata, `group` at a time."""
+    parts = sorted(r.part for r in built.select("part").collect())  # a number a part
+    for lo in range(0, len(parts), group):
+        yield built.sparkSession.sparkContext.broadcast(_Group(built.where(F.col("part").isin(parts[lo : lo + group])).collect()))
 
 
 def _merged(spans: list[list[int]]) -> list[list[int]]:
@@ -171,58 +212,71 @@ def _merged(spans: list[list[int]]) -> list[list[int]]:
     return out
 
 
-def _scanned(shared, first: bool):
-    """Add a part's spans and items to each row; the last three columns are n_words, spans, items."""
+_FOUND = "n_words long, spans array<struct<lo: long, hi: long>>, items array<string>"
+
+
+def _scanned(shared):
+    """(row, __text) to (row, __text, n_words, spans, items) by a group's automata; of no group, none is hit."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton = shared.value
+        known = shared.value.unpacked() if shared is not None else []
         for batch in batches:
-            names = batch.schema.names
             n_words, spans, items = [], [], []
-            old = [] if first else [batch.column(names.index(c)).to_pylist() for c in ("n_words", "spans", "items")]
-            for k, t in enumerate(batch.column(names.index("__text"))):
+            for t in batch.column(1):
                 words = words_of(t.as_py())
-                hit, found = automaton.scan(words)
-                if not first:
-                    hit, found = _merged([*hit, *([s["lo"], s["hi"]] for s in old[1][k])]), found | set(old[2][k])
+                hits = [a.scan(words) for a in known]
                 n_words.append(len(words))
-                spans.append([{"lo": a, "hi": b} for a, b in hit])
-                items.append(sorted(found))
-            kept = [i for i, c in enumerate(names) if c not in ("n_words", "spans", "items")]
-            arrays = [batch.column(i) for i in kept] + [
-                pa.array(n_words, pa.int64()),
-                pa.array(spans, pa.list_(pa.struct([("lo", pa.int64()), ("hi", pa.int64())]))),
-                pa.array(items, pa.list_(pa.string())),
-            ]
-            yield pa.RecordBatch.from_arrays(arrays, names=[*(names[i] for i in kept), "n_words", "spans", "items"])
+                spans.append([{"lo": a, "hi": b} for a, b in (hits[0][0] if len(hits) == 1 else _merged([s for h, _ in hits for s in h]))])
+                items.append(sorted(set().union(*(f for _, f in hits))))
+            arrays = [pa.array(n_words, pa.int64()), pa.array(spans, pa.list_(pa.struct([("lo", pa.int64()), ("hi", pa.int64())]))), pa.array(items, pa.list_(pa.string()))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *arrays], names=["row", "__text", "n_words", "spans", "items"])
 
     return run
 
 
-def automata(items: DataFrame, item_id: str = "item_id", item_text: str = "text", window: int = 10, part_words: int = PART_WORDS) -> list:
-    """The broadcast automata of all parts; one of nothing where there are no items."""
-    sc = items.sparkSession.sparkContext
-    found = items.select(F.coalesce(items[item_id].cast("string"), F.lit("")).alias("item"), items[item_text].alias("text"))
-    return [sc.broadcast(Automaton(part, window)) for part in parts(found, "item", "text", part_words)] or [sc.broadcast(Automaton([], window))]
+def _joined(rows: list[dict]) -> list[dict]:
+    return [{"lo": a, "hi": b} for a, b in _merged([[s["lo"], s["hi"]] for s in rows])]
+
 
+def _joined_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(key, all passes' spans, all items) to (key, spans apart from each other, items)."""
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([_joined(s) for s in batch.column(1).to_pylist()], batch.schema.field(1).type), batch.column(2)], names=["key", "spans", "items"])
 
-def find_items(docs: DataFrame, items: DataFrame, keep: list[str], text: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = 10, part_words: int = PART_WORDS) -> DataFrame:
+
+def find_items(docs: DataFrame, items: DataFrame, keep: list[str], text: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = 10, part_words: int = PART_WORDS, group: int = GROUP) -> DataFrame:
     """The columns `keep` as a struct `row`, n_words, spans array<struct<lo, hi>> of words, items array<string>, `__text` binary.
 
     Null and empty texts have no words and no hits, in documents and items alike. Equal items all
     count. With no items, or an empty table of documents, nothing is hit. Item ids are compared as
     text; a null id is taken as an empty one.
     """
-    return _found(docs, automata(items, item_id, item_text, window, part_words), keep, text)
-
-
-def _found(docs: DataFrame, shared: list, keep: list[str], text: str) -> DataFrame:
-    out = docs.select(F.struct(*[docs[c] for c in keep]).alias("row"), docs[text].cast("binary").alias("__text"))
-    schema = "n_words long, spans array<struct<lo: long, hi: long>>, items array<string>"
-    shape = T.StructType([*out.schema.fields, *T._parse_datatype_string(schema).fields])
-    for n, part in enumerate(shared):
-        out = out.mapInArrow(_scanned(part, n == 0), shape)
-    return out
+    rows = docs.select(F.struct(*[docs[c] for c in keep]).alias("row"), docs[text].cast("binary").alias("__text"))
+    return _found(rows, automata(items, item_id, item_text, window, part_words), group)
+
+
+def _found(rows: DataFrame, built: DataFrame, group: int) -> DataFrame:
+    """`rows(row, __text)` with n_words, spans and items."""
+    shape = T.StructType([*rows.schema.fields, *T._parse_datatype_string(_FOUND).fields])
+    if built.count() <= group:
+        shared = next(_groups(built, group), None)
+        return rows.mapInArrow(_scanned(shared), shape)
+    # 96 bits of the text: texts that are equal are hit alike
+    key = F.struct(F.xxhash64("__text").alias("a"), F.hash("__text").alias("b")).alias("key")
+    passes = []
+    for shared in _groups(built, group):
+        hit = rows.mapInArrow(_scanned(shared), shape).where(F.size("items") > 0).select(key, "spans", "items")
+        passes.append(stored(hit.dropDuplicates(["key"]), "hits"))
+        shared.destroy()
+    every = passes[0]
+    for more in passes[1:]:
+        every = every.unionByName(more)
+    merged = every.groupBy("key").agg(F.flatten(F.collect_list("spans")).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+    merged = merged.mapInArrow(_joined_up, merged.schema)
+    plain = rows.mapInArrow(_scanned(None), shape).drop("spans", "items").withColumn("key", key)
+    both = plain.join(merged, "key", "left")
+    none = [F.coalesce(c, F.array().cast(shape[c].dataType)).alias(c) for c in ("spans", "items")]
+    return both.select("row", "__text", "n_words", *none)
 
 
 def summary(found: DataFrame) -> DataFrame:
@@ -263,29 +317,52 @@ def cut_all(text: bytes, spans: list[tuple[int, int]], automata: list[Automaton]
     return text
 
 
-def decontaminate(docs: DataFrame, items: DataFrame, text: str = "text", window: int = 10, longest: int = 0, most: float = 0.5, **named) -> DataFrame:
+def _cut(automata_of, longest: int):
+    """(row, __text, spans) to (row, cut): texts cut, and cut again by what automata_of() finds; null where nothing was."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            spans = batch.column(2).to_pylist()
+            every = automata_of() if any(spans) else []
+            new = [cut_all(t.as_py(), [(s["lo"], s["hi"]) for s in own], every, longest) if own else None for t, own in zip(batch.column(1), spans)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(new, pa.binary())], names=["row", "cut"])
+
+    return run
+
+
+def decontaminate(docs: DataFrame, items: DataFrame, text: str = "text", window: int = 10, longest: int = 0, most: float = 0.5, group: int = GROUP, **named) -> DataFrame:
     """`docs` with test items removed; same columns and types.
 
     Spans of more than `longest` hit words are cut out of the text, also those that cuts make out of
     what stood around them. A document whose hit words, before any cut, make up more than the share
-    `most` of its words is dropped. Other rows are returned as they are. The task that cuts holds the
-    automata of all parts.
+    `most` of its words is dropped. Other rows are returned as they are. With more automata than a
+    group, rows that were cut are searched again in passes, until none is hit.
     """
-    schema = docs.schema
-    shared = automata(items, window=window, **named)
-    found = _found(docs, shared, docs.columns, text)
+    built = automata(items, window=window, **named)
+    rows = docs.select(whole_row(docs).alias("row"), docs[text].cast("binary").alias("__text"))
+    found = _found(rows, built, group)
     n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["hi"] - s["lo"])
-    kept = found.where(n_hit <= most * F.col("n_words")).select("row", "__text", F.filter("spans", lambda s: s["hi"] - s["lo"] > longest).alias("spans"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            spans = batch.column(2).to_pylist()
-            every = [a.value for a in shared] if any(spans) else []
-            new = [cut_all(t.as_py(), [(s["lo"], s["hi"]) for s in own], every, longest).decode("utf-8", "replace") if own else None for t, own in zip(batch.column(1), spans)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(new, pa.string())], names=["row", "cut"])
-
-    cut = kept.mapInArrow(run, T.StructType([kept.schema["row"], T.StructField("cut", T.StringType())]))
-    return cut.select(*[(F.coalesce("cut", F.col(f"row.`{f.name}`")) if f.name == text else F.col(f"row.`{f.name}`")).alias(f.name) for f in schema.fields])
+    long = F.filter("spans", lambda s: s["hi"] - s["lo"] > longest).alias("spans")
+    left = found.where(n_hit <= most * F.col("n_words")).select("row", "__text", long)
+    shape = T.StructType([left.schema["row"], T.StructField("cut", T.BinaryType())])
+    if built.count() <= group:
+        shared = next(_groups(built, group), None)
+        out = left.mapInArrow(_cut(lambda: shared.value.unpacked() if shared is not None else [], longest), shape)
+    else:
+        left = stored(left, "found")
+        whole, out = left.where(F.size("spans") == 0).select("row", F.lit(None).cast("binary").alias("cut")), None
+        todo = left.where(F.size("spans") > 0)
+        done = [whole]
+        while not todo.isEmpty():
+            cut = stored(todo.mapInArrow(_cut(list, longest), shape).select("row", F.col("cut").alias("__text")), "cut")
+            again = stored(_found(cut, built, group).select("row", "__text", long), "found")
+            done.append(again.where(F.size("spans") == 0).select("row", F.col("__text").alias("cut")))
+            todo = again.where(F.size("spans") > 0)
+        out = done[0]
+        for more in done[1:]:
+            out = out.unionByName(more)
+    new = F.coalesce(F.col("cut").cast("string"), F.col(f"row.`{text}`"))
+    return out.select(F.col("row").withField(f"`{text}`", new).alias("row")).select("row.*")
 
 
 def digest(items: list[str]) -> str:

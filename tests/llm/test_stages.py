@@ -12,7 +12,7 @@ from eventloom.llm.storage import row_key
 from tests.llm.test_operators import brute_items, docs
 
 
-@pytest.mark.parametrize("part_words", [12, 100_000])
+@pytest.mark.parametrize("part_words", [4, 12, 100_000])
 def test_cuts_leave_no_item(spark, part_words):
     """A passage of one item interrupted by another's, three deep."""
     own = [[f"{c}{i}" for i in range(12)] for c in "abc"]
@@ -126,3 +126,15 @@ def test_time_of_many_secrets(spark):
         assert secrets.redact(table).first().text == " ".join(["[secret]"] * n)
         times.append(time.time() - start)
     assert times[1] < 8 * times[0] + 5, times
+
+
+def test_passes_over_many_automata(spark, sf_dir):
+    """Small parts in groups of one and two find and cut what one automaton does, over the given tables."""
+    table, items = queries.table(spark, sf_dir, "documents"), queries.table(spark, sf_dir, "benchmark")
+    table = table.unionByName(table.where("doc_id < 3"))
+    found = lambda **how: sorted(map(str, decontaminate.summary(decontaminate.find_items(table, items, ["doc_id"], **how)).collect()))
+    cut = lambda **how: sorted(map(str, decontaminate.decontaminate(table, items, **how).collect()))
+    built = decontaminate.automata(items, part_words=300)
+    assert built.count() > 4
+    assert found(part_words=300, group=4) == found() and cut(part_words=300, group=4) == cut()
+    assert decontaminate.decontaminate(table, items, part_words=300, group=4).dtypes == table.dtypes
