@@ -22,9 +22,9 @@ def test_query_equals_oracle(spark, sf_dir, name):
 
 def test_every_operator_is_registered_and_returns_every_document(spark, sf_dir):
     names = [n for n in entry.queries() if n.startswith("op")]
-    assert {int(n[2:].split("_")[0]) for n in names} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in names} == set(range(1, 14))
     n = spark.read.parquet(f"{sf_dir}/documents.parquet").count()
-    for name in ("op3_licenses", "op4_secrets", "op6_quality", "op10_pieces"):
+    for name in ("op3_licenses", "op4_secrets", "op6_quality", "op10_pieces", "op12_importance"):
         assert entry.queries()[name](spark, sf_dir).count() == n
     assert entry.queries()["op10_pieces"](spark, sf_dir).where("NOT returned").count() == 0
 
