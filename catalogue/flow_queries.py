@@ -5,6 +5,7 @@ Files written on the way go to the shared folder the session names.
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime, timedelta
 from functools import reduce
 
@@ -23,7 +24,7 @@ from eventloom.plans.health_log import all_reports
 from eventloom.plans.sessions import redo_requests
 from eventloom.sources.capture_files import capture_files, read_captures
 from eventloom.sources.events import only_files, read_event_documents, read_event_xml, read_events
-from eventloom.sources.tables import loaded_tables, reload_tables, save, save_parsed, save_raw, save_tables, shared_folder
+from eventloom.sources.tables import loaded_tables, reload_tables, save, save_as_table, save_parsed, save_raw, save_tables, shared_folder
 from eventloom.sources.tables import register as name_for_sql
 from eventloom.sources.versions import Rejected
 from eventloom.streaming.capture import capture_waits, capture_while_seen
@@ -266,6 +267,17 @@ def stored_tables(spark, sf_dir):
 register("reloaded_table", stored_tables, STATES)
 
 
+def catalogue_table(spark, sf_dir):
+    """A typed table in the session's catalogue, loaded and loaded again under its name."""
+    name, path = f"eventloom_{uuid.uuid4().hex}", f"{shared_folder(spark)}/states"
+    states = shred(logs.log(spark, sf_dir, logs.HEALTH_LOG), health_log.REPLICA_STATE, cut=True)
+    save_as_table(states.limit(0), name, path)
+    return save_as_table(states, name, path)
+
+
+register("reloaded_catalogue_table", catalogue_table, STATES)
+
+
 def switched_tables(spark, sf_dir):
     """A family loaded; a second load does not pass its check, and readers keep the first."""
     base, log = shared_folder(spark), logs.log(spark, sf_dir, logs.HEALTH_LOG)

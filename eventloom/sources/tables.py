@@ -41,9 +41,10 @@ def save(df: DataFrame, path: str, partition_by: Iterable[str] = (), rows_a_file
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def save_as_table(df: DataFrame, name: str) -> DataFrame:
-    """The same for a catalogue table."""
-    df.write.mode("overwrite").format("parquet").saveAsTable(name)
+def save_as_table(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+    """The same for a catalogue table, in the catalogue's own folder or under `path`."""
+    writer = df.write.mode("overwrite").format("parquet")
+    (writer.option("path", path) if path else writer).saveAsTable(name)
     return df.sparkSession.table(name)
 
 
