@@ -36,10 +36,12 @@ _ANY_START = r"<event\b"
 _REFERENCE = r"""<event\b[^<]*\bname\s*=\s*(?:"[^"]*&|'[^']*&)"""
 
 
-def _event_pattern(name: str | None = None) -> str:
-    """Whole event elements: of that name, or all of them."""
-    named = rf"(?=(?:\s+{envelope.ATTRIBUTE})*?\s+name\s*=\s*[\"\']{name}[\"\'])" if name else ""
-    return rf"(?s)<event\b{named}{_INSIDE}(?:/>|>.*?</event\s*>)"
+# Whole event elements, and whether one has a name.
+_EVENT = rf"(?s)<event\b{_INSIDE}(?:/>|>.*?</event\s*>)"
+
+
+def _named(name: str) -> str:
+    return rf"^<event\b(?:\s+{envelope.ATTRIBUTE})*?\s+name\s*=\s*[\"\']{name}[\"\']"
 
 
 def _wrapped(text: Column) -> Column:
@@ -59,16 +61,18 @@ def holds(event_name: str) -> Column:
 def matching_text(raw: DataFrame, event_name: str, mode: str) -> DataFrame:
     """`buffers`: XML text holding the matching events, per event (all) or per record (first).
 
-    Records whose tags cannot be told by pattern, or where the pattern does not find as many events as
-    there are starts of one, contribute the whole of their buffers.
+    The events of a dump are found in one pass over its text and then chosen by name. Records whose tags
+    cannot be told by pattern, or where the pattern does not find as many events as there are starts of
+    one, contribute the whole of their buffers.
     """
     buffers = F.array_join(F.regexp_extract_all("event_data", F.lit(_BUFFER), F.lit(0)), "")
     cut = (
         raw.where(holds(event_name))
         .select(F.inline(F.array(F.struct(buffers.alias("dump")))))
-        .select("dump", F.regexp_extract_all("dump", F.lit(_event_pattern(event_name)), F.lit(0)).alias("pieces"))
+        .select("dump", F.regexp_extract_all("dump", F.lit(_EVENT), F.lit(0)).alias("every"))
+        .select("dump", F.inline(F.array(F.struct(F.size("every").alias("found"), F.filter("every", lambda e: e.rlike(_named(event_name))).alias("pieces")))))
     )
-    uncut = F.regexp_count("dump", F.lit(_event_pattern())) != F.regexp_count("dump", F.lit(_ANY_START))
+    uncut = F.col("found") != F.regexp_count("dump", F.lit(_ANY_START))
     irregular = F.col("dump").rlike(_HIDDEN) | F.col("dump").rlike(_REFERENCE) | uncut | F.exists("pieces", lambda p: p.rlike(_TWO_EVENTS))
     if mode == "all":
         units = F.when(irregular, F.array("dump")).otherwise(F.transform("pieces", _wrapped))
