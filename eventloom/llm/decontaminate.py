@@ -317,19 +317,34 @@ def cut_all(text: bytes, spans: list[tuple[int, int]], automata: list[Automaton]
     return text
 
 
-def _cut(automata_of, longest: int):
-    """(row, __text, spans) to (row, cut): texts cut, and cut again by what automata_of() finds; null where nothing was."""
+def _cleaned(shared, longest: int, most: float):
+    """(row, __text) to (row, cut) of the rows that stay: found and cut by one worker; null where nothing was cut."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = shared.value.unpacked() if shared is not None else []
         for batch in batches:
-            spans = batch.column(2).to_pylist()
-            every = automata_of() if any(spans) else []
-            new = [cut_all(t.as_py(), [(s["lo"], s["hi"]) for s in own], every, longest) if own else None for t, own in zip(batch.column(1), spans)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(new, pa.binary())], names=["row", "cut"])
+            stays, cuts = [], []
+            for t in batch.column(1):
+                body = t.as_py()
+                words = words_of(body)
+                hit = _merged([span for a in known for span in a.scan(words)[0]])
+                stays.append(sum(hi - lo for lo, hi in hit) <= most * len(words))
+                long = [(lo, hi) for lo, hi in hit if hi - lo > longest]
+                cuts.append(cut_all(body, long, known, longest) if long and stays[-1] else None)
+            kept_rows = pa.array(stays, pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(kept_rows), pa.array(cuts, pa.binary()).filter(kept_rows)], names=["row", "cut"])
 
     return run
 
 
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(row, __text, spans) to (row, __text) without the words of the spans."""
+    for batch in batches:
+        spans = [[(s["lo"], s["hi"]) for s in own] for own in batch.column(2).to_pylist()]
+        new = [cut_words(t.as_py(), own) for t, own in zip(batch.column(1), spans)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(new, pa.binary())], names=["row", "__text"])
+
+
 def decontaminate(docs: DataFrame, items: DataFrame, text: str = "text", window: int = 10, longest: int = 0, most: float = 0.5, group: int = GROUP, **named) -> DataFrame:
     """`docs` with test items removed; same columns and types.
 
@@ -340,21 +355,18 @@ def decontaminate(docs: DataFrame, items: DataFrame, text: str = "text", window:
     """
     built = automata(items, window=window, **named)
     rows = docs.select(whole_row(docs).alias("row"), docs[text].cast("binary").alias("__text"))
-    found = _found(rows, built, group)
-    n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["hi"] - s["lo"])
-    long = F.filter("spans", lambda s: s["hi"] - s["lo"] > longest).alias("spans")
-    left = found.where(n_hit <= most * F.col("n_words")).select("row", "__text", long)
-    shape = T.StructType([left.schema["row"], T.StructField("cut", T.BinaryType())])
+    shape = T.StructType([rows.schema["row"], T.StructField("cut", T.BinaryType())])
     if built.count() <= group:
-        shared = next(_groups(built, group), None)
-        out = left.mapInArrow(_cut(lambda: shared.value.unpacked() if shared is not None else [], longest), shape)
+        out = rows.mapInArrow(_cleaned(next(_groups(built, group), None), longest, most), shape)
     else:
+        n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["hi"] - s["lo"])
+        long = F.filter("spans", lambda s: s["hi"] - s["lo"] > longest).alias("spans")
+        left = _found(rows, built, group).where(n_hit <= most * F.col("n_words")).select("row", "__text", long)
         left = stored(left, "found")
-        whole, out = left.where(F.size("spans") == 0).select("row", F.lit(None).cast("binary").alias("cut")), None
         todo = left.where(F.size("spans") > 0)
-        done = [whole]
+        done = [left.where(F.size("spans") == 0).select("row", F.lit(None).cast("binary").alias("cut"))]
         while not todo.isEmpty():
-            cut = stored(todo.mapInArrow(_cut(list, longest), shape).select("row", F.col("cut").alias("__text")), "cut")
+            cut = stored(todo.mapInArrow(_cut, rows.schema), "cut")
             again = stored(_found(cut, built, group).select("row", "__text", long), "found")
             done.append(again.where(F.size("spans") == 0).select("row", F.col("__text").alias("cut")))
             todo = again.where(F.size("spans") > 0)

@@ -34,11 +34,15 @@ def first_of_each(rows: DataFrame, group: str, n: int, seed: int = 7, parts: int
 def with_texts(docs: DataFrame, chosen: DataFrame, doc_id: str, text: str) -> DataFrame:
     """The texts of a bounded choice of ids, a row for each row of `chosen` whose id `docs` has.
 
-    Of an id's rows one counts, chosen by a hash of its text. `chosen` is a stored table; while it
-    has MOST_BROADCAST rows at most it is broadcast, so that no other text is moved.
+    Of an id's rows one counts, chosen by a hash of its text; where ids do not repeat, which their
+    column alone tells, no text is moved for that. `chosen` is a stored table; while it has
+    MOST_BROADCAST rows at most it is broadcast, so that no other text is moved either.
     """
-    texts = docs.select(docs[doc_id].alias("doc_id"), docs[text].cast("binary").alias("text"))
-    met = texts.join(F.broadcast(chosen) if chosen.count() <= MOST_BROADCAST else chosen, "doc_id")
+    n = chosen.count()
+    few = F.broadcast(chosen) if n <= MOST_BROADCAST else chosen
+    met = docs.select(docs[doc_id].alias("doc_id"), docs[text].cast("binary").alias("text")).join(few, "doc_id")
+    if docs.select(docs[doc_id].alias("doc_id")).join(few, "doc_id").groupBy(*chosen.columns).count().where("count > 1").isEmpty():
+        return met.select(*chosen.columns, "text")
     by = F.struct(F.col("text").isNull().alias("none"), F.xxhash64("text").alias("hash"))
     return met.groupBy(*chosen.columns).agg(F.min_by("text", by).alias("text"))
 
