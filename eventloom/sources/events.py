@@ -122,8 +122,8 @@ def read_event_documents(spark: SparkSession, path: str, pattern: str | None = N
 
     Files are read twice. First each block is summed up: its bytes, and by how many dumps it goes
     deeper. The sums of the blocks before, one row a block, tell where a block begins and inside how
-    many dumps. Then the text is dealt out by block; only records with dumps, whose pieces may lie in
-    several blocks, are dealt once more.
+    many dumps. Then the text is dealt out by block, where the pieces of a record are joined up; only
+    records that lie in several blocks are dealt once more.
     """
     pieces = _reader(spark, False, pattern).option("lineSep", END).text(path).select(
         F.col("_metadata.file_path").alias("file_name"),
@@ -140,19 +140,42 @@ def read_event_documents(spark: SparkSession, path: str, pattern: str | None = N
     blocks = blocks.select("file_name", "block", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"{c}_before") for c in ("size", "deeper")])
     inside = Window.partitionBy("file_name", "block").orderBy("nth").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     placed = sized.withColumns({"upto": F.sum("size").over(inside), "depth": F.sum("deeper").over(inside)})
-    placed = placed.join(blocks, ["file_name", "block"]).select(
+    before_it = F.col("deeper_before") + F.col("depth") - F.col("deeper") > 0  # its record began in a piece before
+    located = placed.join(blocks, ["file_name", "block"]).select(
         "file_name",
+        "block",
+        "nth",
         (F.col("size_before") + F.col("upto") - F.col("size")).alias("at"),
-        (F.col("deeper_before") + F.col("depth") - F.col("deeper") > 0).alias("begun"),  # its record began in a piece before
+        before_it.alias("begun"),
         (F.col("deeper_before") + F.col("depth") > 0).alias("goes_on"),
         F.when(F.col("size_before") + F.col("upto") == F.col("file_size") + len(END), F.col("value")).otherwise(F.concat("value", F.lit(END))).alias("piece"),
     )
-    whole = placed.where(~F.col("begun") & ~F.col("goes_on")).select("file_name", "at", "piece")
-    records = whole.unionByName(_joined_up(placed.where(F.col("begun") | F.col("goes_on"))))
+    whole = located.where(~F.col("begun") & ~F.col("goes_on")).select("file_name", "at", "piece")
+    parts = _of_blocks(located.where(F.col("begun") | F.col("goes_on")))
+    inner = parts.where(~F.col("begun") & ~F.col("goes_on")).select("file_name", "at", "piece")
+    records = whole.unionByName(inner).unionByName(_joined_up(parts.where(F.col("begun") | F.col("goes_on"))))
     texts = records.select("file_name", F.col("at").alias("file_offset"), F.regexp_replace("piece", _EVENT_START, "").alias("event_data"))
     return texts.where(F.col("event_data").rlike(r"^<event[\s/>]")).select(_first_name("event_data").alias("object_name"), "event_data", "file_name", "file_offset")
 
 
+def _of_blocks(pieces: DataFrame) -> DataFrame:
+    """The same (file_name, at, begun, goes_on, piece), the pieces of a record in one block joined up.
+
+    The rows are dealt out by block as they come.
+    """
+    inside = Window.partitionBy("file_name", "block").orderBy("nth").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    own = F.last(F.when(~F.col("begun"), F.col("at")), ignorenulls=True).over(inside)
+    parts = F.array_sort(F.collect_list(F.struct("at", "piece", "goes_on")))
+    joined = pieces.withColumn("own", own).groupBy("file_name", "block", "own").agg(parts.alias("parts"))
+    return joined.select(
+        "file_name",
+        F.get("parts", F.lit(0))["at"].alias("at"),
+        F.col("own").isNull().alias("begun"),
+        F.element_at("parts", -1)["goes_on"].alias("goes_on"),
+        F.array_join(F.transform("parts", lambda p: p["piece"]), "").alias("piece"),
+    )
+
+
 def _joined_up(pieces: DataFrame) -> DataFrame:
     """Records of several pieces (file_name, at, begun, goes_on, piece): the first one has not begun before, and all but the last go on.
 
