@@ -32,6 +32,8 @@ MARK = "▁"
 #: Chunks that each of a worker's two generations of remembered ones holds; characters of a chunk that
 #: is segmented with others; characters of the texts that are encoded together.
 REMEMBERED, SHORT, TOGETHER = 100_000, 48, 400_000
+#: In place of a piece's id: a character of no piece; the place in front of a chunk.
+UNKNOWN, NO_PLACE = -1, -2
 
 
 def load(model_file: str) -> dict:
@@ -119,7 +121,11 @@ class Encoder:
         return out[::-1]
 
     def segment(self, chunks: list[str]) -> list[list[int]]:
-        """`viterbi` of many short chunks, relaxed a position at a time for all of them."""
+        """`viterbi` of many short chunks."""
+        return [list(struct.unpack(f"<{len(ids) // 4}i", ids)) for ids in self.segmented(chunks)]
+
+    def segmented(self, chunks: list[str]) -> list[bytes]:
+        """`segment`, relaxed a position at a time for all chunks; ids are packed, 4 bytes each."""
         size = np.fromiter(map(len, chunks), np.int64, len(chunks))
         start = np.cumsum(np.append(0, size + 1))[:-1]
         found = np.fromiter(chain.from_iterable(self.automaton.iter(self.apart.join(chunks))), np.int64).reshape(-1, 2)
@@ -129,8 +135,8 @@ class Encoder:
         place, piece = place[order], piece[order]
         ends = np.searchsorted(at[order], np.arange(int(size.max()) + 2))
         best = np.full(int(size.sum()) + len(chunks) + 1, -np.inf)
-        back, chosen = np.zeros(len(best), np.int64), np.full(len(best), -1)
-        best[start] = 0.0
+        back, chosen = np.zeros(len(best), np.int64), np.full(len(best), UNKNOWN)
+        best[start], chosen[start] = 0.0, NO_PLACE
         for p in range(1, int(size.max()) + 1):
             g, i = place[ends[p] : ends[p + 1]], piece[ends[p] : ends[p + 1]]
             if len(g):
@@ -144,19 +150,28 @@ class Encoder:
             every = every[~np.isin(every, g[self.sizes[i] == 1])] if len(g) else every
             unknown = best[every - 1] + self.unknown
             every, unknown = every[unknown > best[every]], unknown[unknown > best[every]]
-            best[every], back[every], chosen[every] = unknown, every - 1, -1
-        out, back, chosen = [], back.tolist(), chosen.tolist()
-        for chunk, lo, n in zip(chunks, start.tolist(), size.tolist()):
-            ids, g = [], lo + n
-            while g > lo:
-                if chosen[g] >= 0:
-                    ids.append(chosen[g])
-                else:
-                    ids.extend(self.bytes[b] for b in reversed(chunk[g - 1 - lo].encode("utf-8", "surrogatepass")))
-                g = back[g]
-            out.append(ids[::-1])
+            best[every], back[every], chosen[every] = unknown, every - 1, UNKNOWN
+        # the best ways back, a piece at a time for all chunks; in order, the places on them spell the ids
+        passed = np.zeros(len(best), bool)
+        g = start + size
+        while len(g := g[chosen[g] != NO_PLACE]):
+            passed[g] = True
+            g = back[g]
+        places = np.flatnonzero(passed)
+        ids = chosen[places]
+        until = np.searchsorted(places, start + size, "right")
+        from_ = np.append(0, until[:-1])
+        whole, ends = ids.astype("<i4").tobytes(), (until * 4).tolist()
+        out = [whole[lo:hi] for lo, hi in zip([0, *ends[:-1]], ends)]
+        for k in np.unique(np.searchsorted(until, np.flatnonzero(ids == UNKNOWN), "right")).tolist():
+            own = zip(places[from_[k] : until[k]].tolist(), ids[from_[k] : until[k]].tolist())
+            out[k] = b"".join([struct.pack("<i", i) if i >= 0 else self.spelt(chunks[k][p - 1 - int(start[k])]) for p, i in own])
         return out
 
+    def spelt(self, character: str) -> bytes:
+        """Packed ids of a character's UTF-8 bytes."""
+        return struct.pack(f"<{len(b := character.encode('utf-8', 'surrogatepass'))}i", *[self.bytes[x] for x in b])
+
     def encode(self, text: str | None) -> bytes:
         """Packed ids, 4 bytes each; null and empty texts have none."""
         return self.encode_many([text])[0]
@@ -165,20 +180,19 @@ class Encoder:
         """`encode` of each text; what none of them has been seen with is segmented together."""
         # a text's parts stand between marks of its own; the first has a blank in front
         parts = [[self.chunks((MARK * (not k) + part).replace(" ", MARK)) for k, part in enumerate(t.split(MARK))] if t else [] for t in texts]
-        new = {c for own in parts for part in own for c in part}
+        new = set(chain.from_iterable(chain.from_iterable(parts)))
         if len(self.known) > REMEMBERED:
             self.older, self.known = self.known, {}
         new = new.difference(self.known)
         self.known.update([(c, self.older[c]) for c in new if c in self.older])
         new = new.difference(self.known)
         short = sorted((c for c in new if len(c) <= SHORT), key=len)
-        now = dict(zip(short, self.segment(short))) if short else {}
-        now.update((c, self.viterbi(c)) for c in new if len(c) > SHORT)
-        packed = {c: struct.pack(f"<{len(ids)}i", *ids) for c, ids in now.items()}
-        self.known.update((c, packed[c]) for c in short)
+        if short:
+            self.known.update(zip(short, self.segmented(short)))
         own_ids = self.known.__getitem__
-        if any(len(c) > SHORT for c in new):  # long chunks are not remembered
-            own_ids = lambda c: self.known.get(c) or packed[c]
+        if len(short) < len(new):  # long chunks are not remembered
+            long = {c: struct.pack(f"<{len(ids)}i", *ids) for c, ids in ((c, self.viterbi(c)) for c in new if len(c) > SHORT)}
+            own_ids = lambda c: self.known.get(c) or long[c]
         return [self.mark.join([b"".join(map(own_ids, part)) for part in own]) for own in parts]
 
 

@@ -14,7 +14,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from eventloom.llm import ann, importance, queries, spelling
+from eventloom.llm import ann, importance, pieces, queries, spelling
 from tests.llm.test_operators import LONG, TEXTS, docs
 
 # ---- 11 spelling variants
@@ -295,3 +295,15 @@ def test_cells_are_balanced():
         cells = ann.balanced_cells(sample, lists)
         assert sorted(np.concatenate(cells)) == list(range(1000)) and len(cells) == lists
         assert max(map(len, cells)) - min(map(len, cells)) <= 8
+
+
+# ---- check of the third round: seconds of op2 and op10
+
+
+def test_segments_are_packed_for_all_chunks():
+    """op10_pieces: the ways back were walked in Python, an id at a time. Characters of no piece are spelt in bytes."""
+    pytest.importorskip("public_tokenizers")
+    encoder = pieces.Encoder(queries.piece_model())
+    chunks = ["▁the", "\x00", "▁internationalisation", "漢字\U0001f600x", "a", "▁▁▁", "ßé\U0001f600", "\U0001f600\U0001f600", "zzzzq%"]
+    packed = encoder.segmented(chunks)
+    assert [np.frombuffer(p, "<i4").tolist() for p in packed] == [encoder.viterbi(c) for c in chunks] == encoder.segment(chunks)
