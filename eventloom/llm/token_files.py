@@ -24,7 +24,8 @@ import hashlib
 import re
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import accumulate, chain
 from urllib.parse import urlparse
 
 import numpy as np
@@ -43,10 +44,13 @@ GAP = struct.pack(HEAD, GAP_MAGIC, 0)
 NO_ID = -(2**63)
 #: Distinct words that each of a worker's two generations of remembered ids holds.
 REMEMBERED = 120_000
+#: Bytes of the texts whose words are looked for together.
+TOGETHER = 30_000
 
 
-#: A full stop or comma between an ASCII letter and white space.
-END_MARK = re.compile(rb"(?<=[A-Za-z])([.,])(?=\s)")
+#: Marks that are a piece of their own behind a word, and a run of them between an ASCII letter and white space.
+MARKS = ".,;:!?#$%&"
+END_MARKS = re.compile(rb"([%(m)s](?<=[A-Za-z].)[%(m)s]*+)(?=\s)" % {b"m": MARKS.encode()})
 
 
 #: Words of these letters are in composed form, and are one piece before merging.
@@ -64,7 +68,7 @@ class WordIds:
     """Ids of a text from those of its words, as the tokenizer has them.
 
     The tokenizer drops white space and never merges across it, so a text's ids are those of its
-    words in a row; a full stop or a comma at a word's end is an id of its own. Only words not seen
+    words in a row; a run of MARKS at a word's end is encoded on its own. Only words not seen
     lately are given to the tokenizer: of two generations of remembered words the older is dropped
     when the younger is full. Tokenizers that keep white space encode whole texts instead.
     """
@@ -79,16 +83,18 @@ class WordIds:
         self.model, self.plain = self.tokenizer.model, plain
         self.byte_names = byte_names()
         self.dtype = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
+        self.few = [struct.Struct(f"<{n}{'H' if self.dtype == '<u2' else 'I'}").pack for n in range(32)]
         self.known: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
 
     def packed(self, texts: list[str]) -> list[bytes]:
-        kind = "H" if self.dtype == "<u2" else "I"
-        simple = self.plain and [bool(LETTERS.fullmatch(t)) for t in texts]
-        rest = [t for t, s in zip(texts, simple) if not s] if simple else texts
-        encoded = iter([e.ids for e in self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)] if rest else [])
-        all_ids = [self.by_model(t) if s else next(encoded) for t, s in zip(texts, simple)] if simple else list(encoded)
-        return [struct.pack(f"<{len(ids)}{kind}", *ids) for ids in all_ids]
+        simple = [bool(LETTERS.fullmatch(t)) for t in texts] if self.plain else [False] * len(texts)
+        rest = [t for t, s in zip(texts, simple) if not s]
+        encoded = iter(self.tokenizer.encode_batch_fast(rest, add_special_tokens=False) if rest else [])
+        return [self.pack(self.by_model(t) if s else next(encoded).ids) for t, s in zip(texts, simple)]
+
+    def pack(self, ids: list[int]) -> bytes:
+        return self.few[len(ids)](*ids) if len(ids) < len(self.few) else np.array(ids, self.dtype).tobytes()
 
     def by_model(self, word: str) -> list[int]:
         """Ids of a word of letters that normalising only lower-cases: straight from the tokenizer's model."""
@@ -96,24 +102,51 @@ class WordIds:
         return [t.id for t in self.model.tokenize(low if low.isascii() else "".join([self.byte_names[b] for b in low.encode()]))]
 
     def encode(self, text: bytes) -> bytes:
+        return self.encode_many([text])[0]
+
+    def encode_many(self, texts: list[bytes]) -> list[bytes]:
+        """`encode` of each text; a word that several of them have is looked for once."""
         if not self.by_word:
-            return self.packed([text.decode("utf-8", "replace")])[0]
-        words = END_MARK.sub(rb" \1", text).split()
+            return [self.packed([t.decode("utf-8", "replace")])[0] for t in texts]
+        words = [END_MARKS.sub(rb" \1", t).split() for t in texts]
         if len(self.known) > REMEMBERED:
             self.older, self.known = self.known, {}
-        known = self.known
-        if new := set(words).difference(known):
-            known.update([(w, self.older[w]) for w in new if w in self.older])
-            new = [w for w in new if w not in known]
+        known, flat = self.known, list(chain.from_iterable(words))
+        ids = list(map(known.get, flat))
+        if unseen := [k for k, own in enumerate(ids) if own is None]:
+            met = {flat[k] for k in unseen}
+            new = met.difference(self.older)
+            again = met - new
+            known.update(zip(again, map(self.older.__getitem__, again)))
+            new = list(new)
             for i in range(0, len(new), 4096):
                 known.update(zip(new[i : i + 4096], self.packed([w.decode("utf-8", "replace") for w in new[i : i + 4096]])))
-        return b"".join([known[w] for w in words])
+            for k in unseen:
+                ids[k] = known[flat[k]]
+        ends = list(accumulate(map(len, words)))
+        return [b"".join(ids[lo:hi]) for lo, hi in zip([0, *ends[:-1]], ends)]
+
+
+def _together(texts: Iterable[pa.Scalar]) -> Iterator[list[bytes]]:
+    """The texts in a row, null ones empty, in lists of TOGETHER bytes or one text more."""
+    own, held = [], 0
+    for t in texts:
+        own.append(t.as_py() or b"")
+        held += len(own[-1])
+        if held > TOGETHER:
+            yield own
+            own, held = [], 0
+    if own:
+        yield own
 
 
 def shortcuts(definition: str) -> tuple[bool, bool]:
     """Whether words can be encoded on their own, and words of letters by the model alone: tried on a sample."""
     one, whole = WordIds(definition), WordIds(definition, by_word=False)
-    by_word = all(one.encode(t) == whole.encode(t) for t in (b"a b", b" Ab  cd\n\te ", b"it's  12 x. y, z.", "é ́ ß".encode()))
+    marked = f"{' '.join(f'x{a} y{a}{b} Z{b}{a}{a}{b}' for a in MARKS for b in MARKS)} it's... we'll! x2% 3;; é?! -&".encode()
+    tried = (b"a b", b" Ab  cd\n\te ", b"it's  12 x. y, z.", "é ́ ß".encode(), marked)
+    added = "".join(t.content for t in one.tokenizer.get_added_tokens_decoder().values())
+    by_word = not set(MARKS).intersection(added) and all(one.encode(t) == whole.encode(t) for t in tried)
     words = ["a", "Alpha", "internationalisation", "ÀÿÖ", "straße", "ciónñasÉ", "Éé"]
     return by_word, by_word and all(one.by_model(w) == one.tokenizer.encode(w, add_special_tokens=False).ids for w in words)
 
@@ -136,8 +169,9 @@ def write_token_files(docs: DataFrame, path: str, definition: str, end_id: int,
         entries, at = [], 0
         for batch in batches:
             frames, size = [], 0
-            for i, t in zip(batch.column(0).to_pylist(), batch.column(1)):
-                raw = words.encode(t.as_py() or b"") + end
+            encoded = chain.from_iterable(map(words.encode_many, _together(batch.column(1))))
+            for i, own in zip(batch.column(0).to_pylist(), encoded):
+                raw = own + end
                 ids = np.frombuffer(raw, words.dtype)
                 frame = packer.compress(raw)
                 entries.append(struct.pack(ENTRY, NO_ID if i is None else i, at, len(frame), len(ids), zlib.crc32(ids.astype("<u4").tobytes())))

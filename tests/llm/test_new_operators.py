@@ -14,7 +14,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from eventloom.llm import ann, importance, pieces, queries, spelling
+from eventloom.llm import ann, importance, pieces, queries, spelling, token_files
 from tests.llm.test_operators import LONG, TEXTS, docs
 
 # ---- 11 spelling variants
@@ -300,6 +300,28 @@ def test_cells_are_balanced():
 # ---- check of the third round: seconds of op2 and op10
 
 
+def test_marks_behind_words_are_apart():
+    """op2_token_files: a word was encoded anew with each run of marks behind it. The ids are those of the whole text."""
+    public = pytest.importorskip("public_tokenizers")
+    with open(public.path("word_bpe_49k.json"), encoding="utf-8") as f:
+        definition = f.read()
+    assert token_files.shortcuts(definition) == (True, True)
+    one, whole = token_files.WordIds(definition, True, True), token_files.WordIds(definition, by_word=False)
+    texts = [t.encode() for t in ("Wort%%% Wort### wort.$$$ Wort, Wort!? ", "it's... we'll! x2% 3;; é?! ein-&\tß.\n", "a.b c,, .d e.\x1c f.", "", "%%% . x<|startoftext|> y|>. z<|endoftext|>.")]
+    assert one.encode_many(texts) == [one.encode(t) for t in texts] == [whole.encode(t) for t in texts]
+    assert {w for w in one.known if w.startswith(b"Wort")} == {b"Wort"}
+
+
+def test_tokens_added_with_marks_are_left_to_the_tokenizer():
+    """Words are not cut at marks that a token of their own may hold."""
+    public = pytest.importorskip("public_tokenizers")
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(str(public.path("word_bpe_49k.json")))
+    tokenizer.add_tokens(["end%%"])
+    assert token_files.shortcuts(tokenizer.to_str())[0] is False
+
+
 def test_segments_are_packed_for_all_chunks():
     """op10_pieces: the ways back were walked in Python, an id at a time. Characters of no piece are spelt in bytes."""
     pytest.importorskip("public_tokenizers")
