@@ -237,9 +237,14 @@ def ring_from_documents(spark, sf_dir):
 register("ring_from_documents", ring_from_documents, oracle_rows(_SECURITY_FULL, logs.RING_SECURITY))
 
 
+def stored_log(spark, log):
+    """A derived log's raw layer: its tasks hold events of one type and a bounded number each, so they are not spread again."""
+    return save_raw(log, f"{shared_folder(spark)}/raw", spread=False)
+
+
 def stored_raw_layer(spark, sf_dir):
     """The raw log stored by event type; the route reads one partition."""
-    raw = save_raw(logs.log(spark, sf_dir, logs.HEALTH_LOG), f"{shared_folder(spark)}/raw")
+    raw = stored_log(spark, logs.log(spark, sf_dir, logs.HEALTH_LOG))
     return shred(raw, health_log.REPLICA_STATE, cut=True)
 
 
@@ -322,7 +327,7 @@ register(
 
 def guarded_reports(spark, sf_dir):
     """Rows of each report whose events occur in a stored log."""
-    raw = save_raw(logs.log(spark, sf_dir, logs.HEALTH_LOG, broken=True), f"{shared_folder(spark)}/raw")
+    raw = stored_log(spark, logs.log(spark, sf_dir, logs.HEALTH_LOG, broken=True))
     made = all_reports(raw, DerivedState(spark, sf_dir)["messages"], cut=True)
     return reduce(DataFrame.unionByName, [df.agg(F.count("*").alias("records")).select(F.lit(n).alias("report"), "records") for n, df in made.items()])
 
@@ -345,7 +350,7 @@ def accounted(sources, specs):
 
     def query(spark, sf_dir):
         log = logs.log(spark, sf_dir, sources, broken=True).unionByName(logs.odd_events(spark, sf_dir))
-        return sorted_out(save_raw(log, f"{shared_folder(spark)}/raw"), specs).groupBy("fate").agg(F.count("*").alias("records"))
+        return sorted_out(stored_log(spark, log), specs).groupBy("fate").agg(F.count("*").alias("records"))
 
     return query
 
@@ -391,7 +396,7 @@ register(
 def raw_layer(sources):
     """The raw layer of a log, stored and read back in full."""
     columns = ["object_name", "event_data", "file_name", "file_offset"]
-    return lambda spark, sf_dir: save_raw(logs.log(spark, sf_dir, sources), f"{shared_folder(spark)}/raw").select(columns)
+    return lambda spark, sf_dir: stored_log(spark, logs.log(spark, sf_dir, sources)).select(columns)
 
 
 def _raw_oracle(sources) -> str:
@@ -407,7 +412,7 @@ for _name, _sources in [("health_log", logs.HEALTH_LOG), ("system_health", logs.
 
 def one_capture_file(spark, sf_dir):
     """Records of a single capture file, through a named view."""
-    raw = save_raw(logs.log(spark, sf_dir, logs.HEALTH_LOG), f"{shared_folder(spark)}/raw")
+    raw = stored_log(spark, logs.log(spark, sf_dir, logs.HEALTH_LOG))
     name_for_sql({"one_file_events": only_files(raw, f"{logs.LEASE_EVENT.table}_0_1.xel")})
     return spark.sql("SELECT object_name, file_offset FROM one_file_events")
 
