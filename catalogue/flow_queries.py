@@ -199,12 +199,17 @@ def errors_from_xml(spark, sf_dir):
 register("events_from_xml", errors_from_xml, ERRORS)
 
 
-def document(events, path):
+def document(events, path, compression="none"):
     """Event elements of many lines under no line's bounds: one text a file, under a root."""
-    events.select("event_data").write.option("lineSep", "  ").text(path)
+    events.select("event_data").write.option("lineSep", "  ").text(path, compression=compression)
     return path
 
 
+def cluster_documents(spark, sf_dir):
+    """Documents of the cluster log, in compressed files of a bounded number of events each: the text is many times the tables."""
+    return document(logs.log(spark, sf_dir, logs.CLUSTER_LOG), f"{shared_folder(spark)}/SQLDIAG", "gzip")
+
+
 def errors_from_documents(spark, sf_dir):
     """Multi-line documents split between tasks at their end tags."""
     path = document(logs.raw_events(spark, sf_dir, logs.ERROR_EVENT), f"{shared_folder(spark)}/AlwaysOn_health")
@@ -216,8 +221,7 @@ register("events_from_documents", errors_from_documents, ERRORS)
 
 def document_offsets(spark, sf_dir):
     """Records and different places of documents whose records hold events of their own in dumps."""
-    path = document(logs.log(spark, sf_dir, logs.CLUSTER_LOG), f"{shared_folder(spark)}/SQLDIAG")
-    found = read_event_documents(spark, path)
+    found = read_event_documents(spark, cluster_documents(spark, sf_dir))
     return found.groupBy("object_name").agg(F.count("*").alias("records"), F.countDistinct("file_name", "file_offset").alias("places"))
 
 
@@ -230,8 +234,7 @@ register(
 
 def ring_from_documents(spark, sf_dir):
     """Ring-buffer events of dumps that documents hold."""
-    path = document(logs.log(spark, sf_dir, logs.CLUSTER_LOG), f"{shared_folder(spark)}/SQLDIAG")
-    return shred(read_event_documents(spark, path), cluster_diagnostics.RING_SECURITY)
+    return shred(read_event_documents(spark, cluster_documents(spark, sf_dir)), cluster_diagnostics.RING_SECURITY)
 
 
 register("ring_from_documents", ring_from_documents, oracle_rows(_SECURITY_FULL, logs.RING_SECURITY))

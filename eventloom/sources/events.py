@@ -137,10 +137,13 @@ def read_event_documents(spark: SparkSession, path: str, pattern: str | None = N
     sized = pieces.withColumns({"size": size, "deeper": deeper})
     before = Window.partitionBy("file_name").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     blocks = sized.groupBy("file_name", "block").agg(F.sum("size").alias("size"), F.sum("deeper").alias("deeper"))
-    blocks = blocks.select("file_name", "block", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"{c}_before") for c in ("size", "deeper")])
+    sums = [F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"{c}_before") for c in ("size", "deeper")]
+    blocks = blocks.select("file_name", "block", *sums, F.sum("size").over(Window.partitionBy("file_name")).alias("total"))
     inside = Window.partitionBy("file_name", "block").orderBy("nth").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     placed = sized.withColumns({"upto": F.sum("size").over(inside), "depth": F.sum("deeper").over(inside)})
     before_it = F.col("deeper_before") + F.col("depth") - F.col("deeper") > 0  # its record began in a piece before
+    # The last piece of a file that does not end in an end tag; text before it may be as long as a compressed file.
+    rest = (F.col("size_before") + F.col("upto") == F.col("total")) & (F.col("total") == F.col("file_size") + len(END))
     located = placed.join(blocks, ["file_name", "block"]).select(
         "file_name",
         "block",
@@ -148,7 +151,7 @@ def read_event_documents(spark: SparkSession, path: str, pattern: str | None = N
         (F.col("size_before") + F.col("upto") - F.col("size")).alias("at"),
         before_it.alias("begun"),
         (F.col("deeper_before") + F.col("depth") > 0).alias("goes_on"),
-        F.when(F.col("size_before") + F.col("upto") == F.col("file_size") + len(END), F.col("value")).otherwise(F.concat("value", F.lit(END))).alias("piece"),
+        F.when(rest, F.col("value")).otherwise(F.concat("value", F.lit(END))).alias("piece"),
     )
     whole = located.where(~F.col("begun") & ~F.col("goes_on")).select("file_name", "at", "piece")
     parts = _of_blocks(located.where(F.col("begun") | F.col("goes_on")))
